@@ -19,17 +19,21 @@ from farelake import schema as S
 from farelake.functions import cleaning as C
 from farelake.functions import money as M
 
-ALL = Window.partitionBy()
 D2 = T.DecimalType(20, 2)
 
 
+def _all() -> Window:
+    """Window over the whole (aggregated) frame."""
+    return Window.partitionBy()
+
+
 def _rank_desc(c: str) -> F.Column:
     # PostgreSQL orders DESC with NULLs first.
     return F.rank().over(Window.orderBy(F.col(c).desc_nulls_first())).cast("int")
 
 
 def _share(c: str, scale: int = 2) -> F.Column:
-    return M.pct(F.col(c), F.sum(c).over(ALL), scale)
+    return M.pct(F.col(c), F.sum(c).over(_all()), scale)
 
 
 def _first_label(rules: S.Rules) -> str:
@@ -246,8 +250,8 @@ def kpi_seasonal(fact: DataFrame, rules: S.Rules = S.Rules()) -> DataFrame:
     s = by_seasonality(fact, rules)
     typ = F.col("season_type")
     s = s.withColumn("_type_avg", _type_avg(Window.partitionBy("season_type")))
-    s = (s.withColumn("_peak", F.max(F.when(typ == S.PEAK, F.col("_type_avg"))).over(ALL))
-          .withColumn("_np", F.max(F.when(typ == S.NON_PEAK, F.col("_type_avg"))).over(ALL)))
+    s = (s.withColumn("_peak", F.max(F.when(typ == S.PEAK, F.col("_type_avg"))).over(_all()))
+          .withColumn("_np", F.max(F.when(typ == S.NON_PEAK, F.col("_type_avg"))).over(_all())))
     avg, np_, pk = F.col("avg_total_fare_bdt"), F.col("_np"), F.col("_peak")
     out = s.select(
         "seasonality", "season_type", "total_bookings",
