@@ -97,10 +97,19 @@ def booking_fixture(spark: SparkSession, sf_dir: str, fanout: bool = False) -> D
          .alias("seasonality"),
         (pk % 91).cast("int").alias("days_before_departure"),
     )
-    copies = (base.where(F.col("id") % 13 == 0)
-                  .withColumn("id", F.col("id") + 500)
-                  .withColumn("duration_hours", F.lit(5.0).cast("double")))
-    return base.unionByName(copies)
+    # Every 13th id also yields a copy with id + 500 and a valid duration; the
+    # copy is generated in the same pass (explode) instead of a union that
+    # would run the joins above twice.
+    copy = F.explode(F.when(F.col("id") % 13 == 0, F.array(F.lit(False), F.lit(True)))
+                      .otherwise(F.array(F.lit(False)))).alias("_copy")
+    cols = [c for c in base.columns]
+    rows = base.select("*", copy)
+    is_copy = F.col("_copy")
+    return rows.select(*[
+        F.when(is_copy, F.col("id") + 500).otherwise(F.col("id")).alias("id") if c == "id"
+        else F.when(is_copy, F.lit(5.0)).otherwise(F.col(c)).alias(c) if c == "duration_hours"
+        else F.col(c)
+        for c in cols])
 
 
 def fixture_bronze(spark: SparkSession, sf_dir: str, fanout: bool = False) -> DataFrame:
