@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,7 +88,7 @@ def failure_rules(rules) -> list[tuple[str, Column]]:
         ("missing_destination", F.col("destination_code").isNull()),
         ("negative_duration", dur < 0),
         ("excessive_duration", dur > F.lit(rules.max_duration)),
-        ("negative_base_fare", base < F.lit(rules.min_fare)),
+        ("negative_base_fare", base < F.lit(Decimal(str(rules.min_fare))).cast(S.MONEY)),
         ("invalid_total_fare", (total <= 0) & ((base + F.coalesce(tax, F.lit(0))) <= 0)),
     ]
 

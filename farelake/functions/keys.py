@@ -10,8 +10,14 @@ from farelake import schema as S
 
 
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()``: both ends, every Unicode whitespace char (L2)."""
-    return F.btrim(c, F.lit(S.PY_WHITESPACE))
+    """Python ``str.strip()``: both ends, every Unicode whitespace char (L2).
+
+    ``btrim`` with a character set allocates per call, so it only runs when
+    the first or last character is whitespace (a cheap set lookup).
+    """
+    ws = list(S.PY_WHITESPACE)
+    edge = F.substring(c, 1, 1).isin(ws) | F.substring(c, -1, 1).isin(ws)
+    return F.when(edge, F.btrim(c, F.lit(S.PY_WHITESPACE))).otherwise(c)
 
 
 def canonical_text(c: Column, dtype: T.DataType) -> Column:

@@ -23,13 +23,23 @@ from pyspark.sql import functions as F
 SHIFT = 33
 
 
-def assign_ids(df: DataFrame, start: int = 0, name: str = "id") -> DataFrame:
-    """Add ``name`` = start+1 .. start+n in scan order; replaces an existing ``name``."""
+def partition_counts(df: DataFrame) -> DataFrame:
+    """Rows per input partition: ``(_pid, _n)``, one row per partition."""
+    return df.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def assign_ids(df: DataFrame, start: int = 0, name: str = "id",
+               counts: DataFrame | None = None) -> DataFrame:
+    """Add ``name`` = start+1 .. start+n in scan order; replaces an existing ``name``.
+
+    ``counts`` may carry precomputed :func:`partition_counts` of the same
+    scan (for example from a validation pass) to save one pass.
+    """
     if name in df.columns:
         df = df.drop(name)
     tagged = df.select("*", F.spark_partition_id().alias("_pid"),
                        F.monotonically_increasing_id().alias("_mid"))
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    per_part = counts if counts is not None else partition_counts(df)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     j = tagged.join(F.broadcast(offsets), "_pid")

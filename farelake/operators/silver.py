@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +54,15 @@ def fare_validated(clean: DataFrame) -> DataFrame:
         "total_fare_bdt", "base_fare_bdt", "tax_surcharge_bdt"))
 
 
+def money_lit(x) -> F.Column:
+    """A threshold as an exact decimal literal, so comparisons stay decimal."""
+    return F.lit(Decimal(str(x))).cast(S.MONEY)
+
+
 def _valid(rules: S.Rules) -> F.Column:
     dur = F.col("duration_hours")
-    return ((dur >= 0) & (dur <= F.lit(rules.max_duration))
-            & (F.col("base_fare_bdt") >= F.lit(rules.min_fare))
+    return ((dur >= 0) & (dur <= F.lit(float(rules.max_duration)))
+            & (F.col("base_fare_bdt") >= money_lit(rules.min_fare))
             & (F.col("validated_total_fare_bdt") > 0))
 
 

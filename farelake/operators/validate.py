@@ -19,12 +19,16 @@ class ValidationResult:
     ok: bool
     errors: list[str] = field(default_factory=list)
     df: DataFrame | None = None
+    # Rows per input partition of ``df`` (``_pid, _n``), gathered by the same
+    # pass as the type checks; reused for id assignment.
+    partition_counts: DataFrame | None = None
 
 
 def check_frame(df: DataFrame) -> ValidationResult:
     """Required columns (B1), extra columns (B2), numeric columns (B3), verdict.
 
-    All numeric checks run as one aggregation over the text columns.
+    All numeric checks run in one pass, aggregated per input partition so
+    that the same pass also yields the partition row counts used for ids.
     """
     errors: list[str] = []
     cols = df.columns
@@ -35,16 +39,18 @@ def check_frame(df: DataFrame) -> ValidationResult:
     if extra:
         log.warning("Extra columns found (will be ignored): %s", extra)
     numeric = [c for c in S.NUMERIC_KINDS if c in cols]
+    per_part = df.groupBy(F.spark_partition_id().alias("_pid")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(f"`{c}`").isNotNull()
+                     & F.col(f"`{c}`").cast("string").try_cast("double").isNull()).alias(f"_{i}")
+          for i, c in enumerate(numeric)]).cache()
     if numeric:
-        bad = df.agg(*[
-            F.count_if(F.col(f"`{c}`").isNotNull()
-                       & F.col(f"`{c}`").cast("string").try_cast("double").isNull()).alias(f"_{i}")
-            for i, c in enumerate(numeric)]).first()
+        bad = per_part.agg(*[F.sum(f"_{i}") for i in range(len(numeric))]).first()
         for i, c in enumerate(numeric):
             if bad[i]:
                 errors.append(f"Column '{c}' expected {S.NUMERIC_KINDS[c]}, got text")
     selected = df.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]) if not missing else None
-    return ValidationResult(not errors, errors, selected)
+    return ValidationResult(not errors, errors, selected, per_part.select("_pid", "_n"))
 
 
 def check_structure(spark: SparkSession, path: str) -> ValidationResult:

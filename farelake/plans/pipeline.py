@@ -62,7 +62,7 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL) -
     typed = validate.typed(res.df)
     hashed = typed.withColumn("row_hash", B.row_hash(typed, S.SOURCE_COLUMNS))
     start = L.max_id(lake, STAGING) if mode == S.INCREMENTAL else 0
-    staged = assign_ids(hashed, start)
+    staged = assign_ids(hashed, start, counts=res.partition_counts)
     try:
         out = L.load(staged, lake, STAGING, mode, stamps=("ingested_at",))
     except Exception as e:
