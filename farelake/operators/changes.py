@@ -17,12 +17,15 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> Data
     """Batch rows whose key is not in the target (C4).
 
     A left anti join: copies inside the batch are all kept and a NULL batch
-    key always counts as new, as with a set-membership test. Spark
-    broadcasts the key side only when its size is known to be small and
-    otherwise shuffles both sides by key (sort-merge anti join), so target
-    size is not bounded by driver or executor memory.
+    key always counts as new, as with a set-membership test. The target's
+    keys are deduplicated first: the partial aggregation folds a key that
+    many target rows share before any shuffle, and its hash partitioning is
+    the one the join needs. Spark broadcasts the key side only when its
+    size is known to be small and otherwise runs a sort-merge anti join
+    (AQE splits a skewed batch partition), so the target's size is bounded
+    by neither driver nor executor memory.
     """
-    return batch.join(target_keys(target, key), key, "left_anti")
+    return batch.join(target_keys(target, key).distinct(), key, "left_anti")
 
 
 def change_summary(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The surveyed pipeline has no streaming input, watermark, window or stateful
+operator; its incremental mode is a batch load that skips rows whose content
+hash the target already holds (:func:`farelake.operators.changes.new_rows`).
+Because that load is idempotent by hash, re-running it over files that
+arrived since the last run is the supported way to process new data; no
+streaming operator is built.
+"""
