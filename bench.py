@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from farelake import schema as S  # noqa: E402
 from farelake.operators import bronze as B  # noqa: E402
-from farelake.operators import changes, dims, kpi, silver  # noqa: E402
+from farelake.operators import changes, dims, kpi, quality, report, silver  # noqa: E402
 from farelake.operators.fact import fact_bookings  # noqa: E402
 from farelake.plans import pipeline as P  # noqa: E402
 from farelake.session import local_session  # noqa: E402
@@ -79,6 +79,21 @@ def main() -> None:
     timed("incremental_new_rows", lambda: changes.new_rows(bronze, target)
           .write.format("noop").mode("overwrite").save())
 
+    def data_tests_and_report():
+        for name, tbl in (("stg_flight_bookings", "stg"), ("stg_validation_failures", "failures"),
+                          ("kpi_avg_fare_by_airline", "kpi_avg"),
+                          ("kpi_booking_count_by_airline", "kpi_bc"),
+                          ("kpi_most_popular_routes", "kpi_routes"),
+                          ("kpi_seasonal_fare_variation", "kpi_seasonal")):
+            tables[name] = lake.read(tbl)
+        quality.run_checks(tables, quality.ALL_CHECKS).collect()
+        report.layer_counts(bronze, stg, airline, route, lake.read("dim_date")).collect()
+        report.top_airlines(tables["kpi_booking_count_by_airline"]).collect()
+        report.top_routes(tables["kpi_most_popular_routes"]).collect()
+        report.seasonal(tables["kpi_seasonal_fare_variation"]).collect()
+    tables = {}
+    timed("data_tests_report", data_tests_and_report)
+
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_total_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))

@@ -48,3 +48,14 @@ def attributes(d: Column) -> list[Column]:
         dow.isin(0, 6).alias("is_weekend"),
         weather_season(d).alias("weather_season"),
     ]
+
+
+def departure_month(departure) -> Column:
+    """``yyyy-MM`` of the departure date; NULL when the text is not a date.
+
+    Layout column of the staging and bronze tables. Its cardinality is the
+    number of calendar months, and rows with equal content hashes share it
+    (the hash covers the departure text), so an incremental load may prune
+    the target to the months of the batch.
+    """
+    return F.date_format(departure_date(departure), "yyyy-MM")

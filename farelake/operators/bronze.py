@@ -22,7 +22,7 @@ def enforce_types(df: DataFrame) -> DataFrame:
     """
     cols = [F.col("id").cast("long").alias("id")] if "id" in df.columns else []
     cols += [F.col(c).try_cast(S.ENGINE_TYPES[c]).alias(c) for c in S.ENGINE_COLUMNS]
-    extra = [c for c in ("row_hash", "source_system", "ingested_at") if c in df.columns]
+    extra = [c for c in ("row_hash", "source_system", "ingested_at", S.LAYOUT_COLUMN) if c in df.columns]
     return df.select(*cols, *extra)
 
 

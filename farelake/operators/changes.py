@@ -13,7 +13,17 @@ def target_keys(target: DataFrame, key: str = "row_hash") -> DataFrame:
     return target.select(key)
 
 
-def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
+def prune(target: DataFrame, column: str, values) -> DataFrame:
+    """Keep the target partitions whose ``column`` value is in ``values`` (static pruning)."""
+    c = F.col(column)
+    cond = c.isin([v for v in values if v is not None])
+    if any(v is None for v in values):
+        cond = cond | c.isNull()
+    return target.where(cond)
+
+
+def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash",
+             prune_by: str | None = None, prune_values=None) -> DataFrame:
     """Batch rows whose key is not in the target (C4).
 
     A left anti join: copies inside the batch are all kept and a NULL batch
@@ -24,7 +34,13 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> Data
     size is known to be small and otherwise runs a sort-merge anti join
     (AQE splits a skewed batch partition), so the target's size is bounded
     by neither driver nor executor memory.
+
+    With ``prune_by`` (a partition column of the target that equal keys
+    always share) and the batch's ``prune_values``, only those target
+    partitions are scanned: Parquet partition filters, no full-target read.
     """
+    if prune_by is not None and prune_values is not None and prune_by in target.columns:
+        target = prune(target, prune_by, prune_values)
     return batch.join(target_keys(target, key).distinct(), key, "left_anti")
 
 

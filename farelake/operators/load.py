@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake import schema as S
@@ -39,6 +39,12 @@ def resolve_mode(mode: str) -> str:
     return mode
 
 
+def distinct_values(df: DataFrame, column: str, bound: int = 1000):
+    """Distinct values of a bounded-cardinality column, or None above ``bound``."""
+    vals = [r[0] for r in df.select(column).distinct().limit(bound + 1).collect()]
+    return vals if len(vals) <= bound else None
+
+
 def max_id(lake, table: str) -> int:
     if not lake.exists(table):
         return 0
@@ -47,31 +53,38 @@ def max_id(lake, table: str) -> int:
 
 
 def load(df: DataFrame, lake, table: str, mode: str = S.FULL,
-         stamps: tuple[str, ...] = ()) -> LoadResult:
+         stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
+         prune_values=None, batch_rows: int | None = None) -> LoadResult:
     """Write ``df`` (which carries ``row_hash``) into ``table``.
 
     full: a new version replaces the table. incremental: rows whose hash the
     table already holds are skipped and the rest appended; nothing is ever
-    updated or removed (insert-only). Row counts are gathered with
-    ``observe`` during the write itself, not by extra scans; the count of
-    the target after the load (A15) reads Parquet footers only.
+    updated or removed (insert-only). ``batch_rows`` is the batch size when
+    the caller already knows it (ingest counts rows in its validation pass);
+    otherwise it is counted, which for a Parquet source reads footers only.
+    Target counts before and after the load (A15, rows loaded) read Parquet
+    footers only. Loads into one table are expected to run one at a time.
+
+    ``partition_by`` lays the table out by those columns; with
+    ``prune_values`` (the batch's values of the first of them) an
+    incremental load reads only the matching target partitions.
     """
     mode = resolve_mode(mode)
-    seen = Observation("batch")
-    batch = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    total = df.count() if batch_rows is None else batch_rows
     if mode == S.INCREMENTAL and lake.exists(table):
         if "row_hash" not in df.columns:
             raise ValueError("row_hash column required for incremental load but not found")
-        written = Observation("written")
-        out = new_rows(batch, lake.read(table)).observe(written, F.count(F.lit(1)).alias("rows"))
-        lake.write(out, table, mode="append", stamps=stamps)
-        total, loaded = seen.get["rows"], written.get["rows"]
+        before = lake.read(table).count()
+        prune_by = partition_by[0] if partition_by else None
+        out = new_rows(df, lake.read(table), prune_by=prune_by, prune_values=prune_values)
+        lake.write(out, table, mode="append", stamps=stamps, partition_by=partition_by)
+        in_target = lake.read(table).count()
+        loaded = in_target - before
         if loaded == 0:
             log.info("No new records to insert - all records already exist")
     else:
-        lake.write(batch, table, mode="overwrite", stamps=stamps)
-        total = loaded = seen.get["rows"]
-    in_target = lake.read(table).count()
-    if mode == S.FULL and in_target != total:
-        log.warning("Row count mismatch: source=%s, target=%s", total, in_target)
+        lake.write(df, table, mode="overwrite", stamps=stamps, partition_by=partition_by)
+        in_target = loaded = lake.read(table).count()
+        if in_target != total:
+            log.warning("Row count mismatch: source=%s, target=%s", total, in_target)
     return LoadResult(True, total, loaded, total - loaded, in_target)

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake import schema as S
+from farelake.functions import dates as D
 from farelake.sources.csv import SourceError, preflight, read_text_csv
 
 log = logging.getLogger(__name__)
 
+NO_MONTH = "-"          # stands for a NULL month inside collect_set
+MAX_MONTHS = 1200       # prune only when the batch spans at most 100 years of months
+
 
 @dataclass
 class ValidationResult:
@@ -22,6 +26,10 @@ class ValidationResult:
     # Rows per input partition of ``df`` (``_pid, _n``), gathered by the same
     # pass as the type checks; reused for id assignment.
     partition_counts: DataFrame | None = None
+    # Departure months present in the file (bounded by the calendar), from
+    # the same pass; used to prune the target of an incremental load.
+    months: list | None = None
+    rows: int | None = None
 
 
 def check_frame(df: DataFrame) -> ValidationResult:
@@ -39,8 +47,11 @@ def check_frame(df: DataFrame) -> ValidationResult:
     if extra:
         log.warning("Extra columns found (will be ignored): %s", extra)
     numeric = [c for c in S.NUMERIC_KINDS if c in cols]
+    dep = "Departure Date & Time"
+    month = [F.collect_set(F.coalesce(D.departure_month(F.trim(F.col(f"`{dep}`"))), F.lit(NO_MONTH)))
+             .alias("_months")] if dep in cols else []
     per_part = df.groupBy(F.spark_partition_id().alias("_pid")).agg(
-        F.count(F.lit(1)).alias("_n"),
+        F.count(F.lit(1)).alias("_n"), *month,
         *[F.count_if(F.col(f"`{c}`").isNotNull()
                      & F.col(f"`{c}`").cast("string").try_cast("double").isNull()).alias(f"_{i}")
           for i, c in enumerate(numeric)]).cache()
@@ -49,8 +60,16 @@ def check_frame(df: DataFrame) -> ValidationResult:
         for i, c in enumerate(numeric):
             if bad[i]:
                 errors.append(f"Column '{c}' expected {S.NUMERIC_KINDS[c]}, got text")
+    months = None
+    summary = per_part.agg(
+        F.sum("_n").alias("rows"),
+        *([F.array_distinct(F.flatten(F.collect_list("_months"))).alias("months")] if month else []),
+    ).first()
+    if month and len(summary["months"]) <= MAX_MONTHS:
+        months = [None if m == NO_MONTH else m for m in summary["months"]]
     selected = df.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]) if not missing else None
-    return ValidationResult(not errors, errors, selected, per_part.select("_pid", "_n"))
+    return ValidationResult(not errors, errors, selected, per_part.select("_pid", "_n"), months,
+                            int(summary["rows"] or 0))
 
 
 def check_structure(spark: SparkSession, path: str) -> ValidationResult:

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.operators import bronze as B
-from farelake.operators import dims, kpi, load as L, quality, report, silver, validate
+from farelake.operators import dims, kpi, load as L, profile, quality, report, silver, validate
 from farelake.operators.fact import fact_bookings
+from farelake.functions import dates as D
 from farelake.operators.ids import assign_ids
 from farelake.sources.lake import Lake
 
@@ -40,8 +41,23 @@ def _now():
 
 
 # ------------------------------------------------------------------ R1 ingest
-def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL) -> L.LoadResult:
-    """Validate the CSV, hash every row, load it into staging, log the outcome."""
+PROFILES = ("shape", "nulls", "value_counts", "distincts", "top_values", "stats", "issues")
+
+
+def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_") -> None:
+    """Profile a source-shaped frame (N1-N7) into ``profile_*`` tables."""
+    for name in PROFILES:
+        lake.write(getattr(profile, name)(df), f"{prefix}{name}", stamps=("profiled_at",))
+
+
+def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
+           with_profile: bool = False) -> L.LoadResult:
+    """Validate the CSV, hash every row, load it into staging, log the outcome.
+
+    ``with_profile`` also writes the profile tables of the typed file (the
+    source system logs this profile on every ingest); each profile family is
+    one aggregation over the file.
+    """
     started = _now()
     name = csv_path.rstrip("/").rsplit("/", 1)[-1]
     mode = L.resolve_mode(mode)
@@ -60,11 +76,16 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL) -
         log_row("FAILURE", 0, 0, "; ".join(res.errors))
         return L.LoadResult(False, error="; ".join(res.errors))
     typed = validate.typed(res.df)
+    if with_profile:
+        write_profile(lake, typed)
     hashed = typed.withColumn("row_hash", B.row_hash(typed, S.SOURCE_COLUMNS))
     start = L.max_id(lake, STAGING) if mode == S.INCREMENTAL else 0
     staged = assign_ids(hashed, start, counts=res.partition_counts)
+    staged = staged.withColumn(S.LAYOUT_COLUMN, D.departure_month(F.trim(F.col("`Departure Date & Time`"))))
     try:
-        out = L.load(staged, lake, STAGING, mode, stamps=("ingested_at",))
+        out = L.load(staged, lake, STAGING, mode, stamps=("ingested_at",),
+                     partition_by=(S.LAYOUT_COLUMN,), prune_values=res.months,
+                     batch_rows=res.rows)
     except Exception as e:
         log_row("FAILURE", 0, 0, f"Unexpected error during load: {e}")
         return L.LoadResult(False, error=str(e))
@@ -99,8 +120,10 @@ def promote(spark: SparkSession, lake: Lake, mode: str = S.FULL) -> L.LoadResult
     bronze = B.to_bronze(staging.withColumn("_sid", F.col("id")))
     bronze = bronze.withColumn("id", F.col("_sid") + F.lit(offset)).drop("_sid")
     bronze = B.enforce_types(bronze)
+    months = L.distinct_values(staging, S.LAYOUT_COLUMN) if mode == S.INCREMENTAL else None
     try:
-        out = L.load(bronze, lake, BRONZE, mode, stamps=("ingested_at",))
+        out = L.load(bronze, lake, BRONZE, mode, stamps=("ingested_at",),
+                     partition_by=(S.LAYOUT_COLUMN,), prune_values=months)
     except Exception as e:
         log_row("FAILURE", 0, str(e))
         return L.LoadResult(False, error=str(e))

@@ -118,6 +118,9 @@ LEGACY_PEAK_SEASONS = ("Eid ul-Fitr", "Eid ul-Adha", "Winter Holidays")
 
 SOURCE_SYSTEM = "staging"
 
+# Partition column of the staging and bronze tables.
+LAYOUT_COLUMN = "departure_month"
+
 # ---------------------------------------------------------------------------
 # Derived declarations
 # ---------------------------------------------------------------------------

@@ -62,11 +62,18 @@ class Lake:
               stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> str:
         """Write ``df`` as a new version (overwrite) or into the current one (append).
 
+        ``partition_by`` lays the files out by those columns (Hive-style).
+
         ``stamps`` names audit columns set to ``current_timestamp()`` at write
         time (D15), so query results stay free of wall-clock values.
         """
         for name in stamps:
             df = df.withColumn(name, F.current_timestamp())
+        if partition_by:
+            # One shuffle by the layout columns so each task writes few
+            # partition directories; AQE sizes the partitions and splits a
+            # skewed (hot) value instead of giving it to one task.
+            df = df.hint("rebalance", *partition_by)
         current = self.current(table) if mode == "append" else None
         if current is not None:
             w = df.write.mode("append")

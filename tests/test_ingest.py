@@ -118,3 +118,14 @@ def test_promote_without_staging_fails(spark, scratch):
     res = P.promote(spark, lake)
     assert not res.ok and res.error == "No data in source table"
     assert lake.read("transfer_log").first().status == "FAILURE"
+
+
+def test_ingest_with_profile(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    row2 = list(ROW)
+    row2[HEADER.index("Seasonality")] = ""
+    path = write_csv(scratch, HEADER, [ROW, row2])
+    assert P.ingest(spark, path, lake, with_profile=True).ok
+    nulls = {r.column_name: r.null_count for r in lake.read("profile_nulls").collect()}
+    assert nulls["Seasonality"] == 1 and nulls["Airline"] == 0
+    assert lake.read("profile_shape").first().total_rows == 2

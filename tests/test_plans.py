@@ -32,3 +32,17 @@ def test_no_cartesian_products_in_gold(spark):
                  "report_layer_counts"):
         text = Q.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_incremental_target_scan_is_pruned(spark, scratch):
+    from pyspark.sql import functions as F
+    from farelake.functions.dates import departure_month
+    t = (B.with_row_hash(fixture_bronze(spark, SF_SMALL))
+         .withColumn("departure_month", departure_month("departure_datetime")))
+    t.write.partitionBy("departure_month").parquet(scratch + "/t")
+    target = spark.read.parquet(scratch + "/t")
+    batch = target.where(F.col("departure_month") == "1995-03")
+    q = changes.new_rows(batch, target, prune_by="departure_month", prune_values=["1995-03"])
+    text = q._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("PartitionFilters: [isnotnull(departure_month") >= 2
+    assert q.count() == 0
