@@ -112,10 +112,11 @@ def promote(spark: SparkSession, lake: Lake, mode: str = S.FULL) -> L.LoadResult
         except Exception as e:
             log.error("Failed to log transfer result: %s", e)
 
-    if not lake.exists(STAGING) or lake.read(STAGING).isEmpty():
+    staging = lake.read(STAGING) if lake.exists(STAGING) else None
+    rows = staging.count() if staging is not None else 0   # Parquet footers only
+    if rows == 0:
         log_row("FAILURE", 0, "No data in source table")
         return L.LoadResult(False, error="No data in source table")
-    staging = lake.read(STAGING)
     offset = L.max_id(lake, BRONZE) if mode == S.INCREMENTAL else 0
     bronze = B.to_bronze(staging.withColumn("_sid", F.col("id")))
     bronze = bronze.withColumn("id", F.col("_sid") + F.lit(offset)).drop("_sid")
@@ -123,7 +124,7 @@ def promote(spark: SparkSession, lake: Lake, mode: str = S.FULL) -> L.LoadResult
     months = L.distinct_values(staging, S.LAYOUT_COLUMN) if mode == S.INCREMENTAL else None
     try:
         out = L.load(bronze, lake, BRONZE, mode, stamps=("ingested_at",),
-                     partition_by=(S.LAYOUT_COLUMN,), prune_values=months)
+                     partition_by=(S.LAYOUT_COLUMN,), prune_values=months, batch_rows=rows)
     except Exception as e:
         log_row("FAILURE", 0, str(e))
         return L.LoadResult(False, error=str(e))

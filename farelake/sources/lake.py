@@ -22,9 +22,17 @@ COMMIT_SCHEMA = "table string, version string, committed_at timestamp"
 
 
 class Lake:
+    """Layer tables under ``root``.
+
+    The newest committed version of every table is read from the commit log
+    once (one row per table) and then kept up to date by this instance's
+    own writes; call :meth:`refresh` to see commits made by other writers.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._versions: dict[str, str] | None = None
 
     # ---------------------------------------------------------------- catalog
     def _commits(self) -> DataFrame | None:
@@ -33,14 +41,20 @@ class Lake:
         except AnalysisException:
             return None
 
-    def current(self, table: str) -> str | None:
-        """Path of the newest committed version of ``table`` (one tiny lookup)."""
+    def refresh(self) -> None:
         c = self._commits()
         if c is None:
-            return None
-        row = (c.where(F.col("table") == table)
-                .agg(F.max_by("version", "committed_at").alias("v")).first())
-        return None if row is None or row.v is None else f"{self.root}/{table}/{row.v}"
+            self._versions = {}
+            return
+        rows = c.groupBy("table").agg(F.max_by("version", "committed_at").alias("v")).collect()
+        self._versions = {r["table"]: r["v"] for r in rows}
+
+    def current(self, table: str) -> str | None:
+        """Path of the newest committed version of ``table``."""
+        if self._versions is None:
+            self.refresh()
+        v = self._versions.get(table)
+        return None if v is None else f"{self.root}/{table}/{v}"
 
     def exists(self, table: str) -> bool:
         return self.current(table) is not None
@@ -56,6 +70,10 @@ class Lake:
             [(table, version)], "table string, version string").withColumn(
             "committed_at", F.current_timestamp())
         row.write.mode("append").parquet(f"{self.root}/{COMMITS}")
+        if self._versions is None:
+            self.refresh()
+        else:
+            self._versions[table] = version
 
     # ---------------------------------------------------------------- writes
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",
