@@ -1,4 +1,8 @@
-"""Dimensions derived from silver bookings (M3-M5)."""
+"""Dimensions derived from silver bookings (M3-M5).
+
+Each dimension carries its presentation order (J1). Catalyst drops a sort
+below a join or an aggregation, so consumers do not pay for it.
+"""
 
 from __future__ import annotations
 
@@ -21,7 +25,8 @@ def dim_airline(stg: DataFrame) -> DataFrame:
     """Distinct airlines with an MD5 surrogate key."""
     return (stg.where(F.col("airline").isNotNull()).select("airline").distinct()
                .select(airline_key("airline").alias("airline_key"),
-                       F.col("airline").alias("airline_name")))
+                       F.col("airline").alias("airline_name"))
+               .orderBy("airline_name"))
 
 
 def dim_route(stg: DataFrame) -> DataFrame:
@@ -38,7 +43,7 @@ def dim_route(stg: DataFrame) -> DataFrame:
         "source_code", "source_name", "destination_code", "destination_name",
         F.concat(F.col("source_code"), F.lit("-"), F.col("destination_code")).alias("route_code"),
         F.concat(F.col("source_name"), F.lit(" to "), F.col("destination_name")).alias("route_description"),
-    )
+    ).orderBy("source_code", "destination_code")
 
 
 def dim_date(stg: DataFrame) -> DataFrame:
@@ -51,7 +56,7 @@ def dim_date(stg: DataFrame) -> DataFrame:
     dates = (stg.where(dep.isNotNull() & (dep != ""))
                 .select(D.departure_date(dep).alias("d")).distinct()
                 .where(F.col("d").isNotNull()))
-    return dates.select(*D.attributes(F.col("d")))
+    return dates.select(*D.attributes(F.col("d"))).orderBy("full_date")
 
 
 def check_unique_routes(dim: DataFrame) -> None:
