@@ -87,8 +87,8 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
                      partition_by=(S.LAYOUT_COLUMN,), prune_values=res.months,
                      batch_rows=res.rows)
     except Exception as e:
-        log_row("FAILURE", 0, 0, f"Unexpected error during load: {e}")
-        return L.LoadResult(False, error=str(e))
+        log_row("FAILURE", res.rows, 0, f"Unexpected error during load: {e}")
+        return L.LoadResult(False, rows_expected=res.rows or 0, error=str(e))
     log_row("SUCCESS", out.rows_expected, out.rows_loaded, None)
     return out
 
