@@ -33,7 +33,7 @@ def dim_route(stg: DataFrame) -> DataFrame:
     """Distinct (codes, names) with a key over the codes only (M4).
 
     The key ignores the names, so a code pair with two name spellings yields
-    two rows with the same ``route_key`` (reference fan-out, Q7).
+    two rows with the same ``route_key`` (source-system fan-out, Q7).
     """
     routes = (stg.where(F.col("source_code").isNotNull() & F.col("destination_code").isNotNull())
                  .select("source_code", "source_name", "destination_code", "destination_name")
@@ -49,7 +49,7 @@ def dim_route(stg: DataFrame) -> DataFrame:
 def dim_date(stg: DataFrame) -> DataFrame:
     """Distinct departure dates with calendar attributes (M5).
 
-    Text that is not a date yields no row (the reference's cast would fail
+    Text that is not a date yields no row (the source system's cast would fail
     the whole model instead; T4).
     """
     dep = F.col("departure_datetime")

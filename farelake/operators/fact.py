@@ -27,7 +27,7 @@ def fact_bookings(stg: DataFrame, dim_route: DataFrame | None = None,
     keys, so the left joins F1 and F3 reduce to computing the key on the
     booking row: no join and no shuffle of the fact. The route dimension
     is joined (F2) because it can hold several name spellings per code pair
-    and the reference multiplies bookings by them (Q7). That join is a plain
+    and the source system multiplies bookings by them (Q7). That join is a plain
     equi-join: Spark broadcasts the dimension when its size is known to be
     small (file statistics, or AQE's runtime size) and shuffles otherwise,
     with AQE splitting a skewed route partition.

@@ -185,7 +185,7 @@ def route_metrics(fact: DataFrame, dim_route: DataFrame,
         M.dbl("total_revenue_bdt").alias("total_revenue_bdt"),
         _rank_desc("total_revenue_bdt").alias("revenue_rank"),
         M.dbl("avg_days_before_departure").alias("avg_days_before_departure"),
-        # The reference divides the two *rounded* averages.
+        # The source system divides the two *rounded* averages.
         M.dbl(M.ratio_round("avg_fare_bdt", "avg_duration_hours", 2, num_t=D2, den_t=D2))
          .alias("fare_per_hour"),
     )

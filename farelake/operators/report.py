@@ -28,7 +28,7 @@ def layer_counts(bronze: DataFrame, stg: DataFrame, dim_airline: DataFrame,
                      for name in layers])
     return row.select(
         "bronze_records", "silver_records",
-        # The reference divides by zero on an empty bronze table (Q11).
+        # The source system divides by zero on an empty bronze table (Q11).
         M.dbl(M.pct(F.col("silver_records"), F.col("bronze_records"), 1)).alias("validation_rate_pct"),
         "unique_airlines", "unique_routes", "date_entries")
 

@@ -77,7 +77,7 @@ def stg_bookings(bronze: DataFrame, rules: S.Rules = S.Rules()) -> DataFrame:
 
     The first copy (lowest ``bronze_id``) of each dedupe group is ranked
     before the validity filter, so an invalid first copy removes its group
-    (reference order; ``rules.validate_first`` flips it). ``rn = 1`` plans
+    (source-system order; ``rules.validate_first`` flips it). ``rn = 1`` plans
     as a WindowGroupLimit that also runs before the shuffle, so a dedupe
     key holding many copies ships one row per map partition.
     """
