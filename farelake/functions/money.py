@@ -77,29 +77,53 @@ def dbl(c) -> Column:
     return _c(c).cast("double")
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
-    """Exact ``percentile_cont(0.5)`` per group without holding a group in memory.
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
+                 bucket_width: int | None = 1000) -> DataFrame:
+    """Exact ``percentile_cont(0.5)`` per group without holding a group in one task.
 
     1. Count rows per (group, value): a map-side combined aggregation whose
        size is the number of distinct values, not the number of rows.
-    2. Running count over the sorted histogram of each group (sort-based,
-       spillable window) and the group size.
-    3. The lower and upper middle values are the first histogram entries
-       whose running count reaches positions ceil(n/2) and floor(n/2)+1.
-    The median is their mean, exact in decimal.
+    2. With ``bucket_width``: sum those counts per (group, value bucket of
+       that width) and run a count over each group's few buckets to find the
+       one or two buckets holding the middle positions ceil(n/2) and
+       floor(n/2)+1, with the number of rows before each.
+    3. Rank values only inside those buckets (a sort-based, spillable window
+       per (group, bucket)): the first value whose running position reaches
+       each middle position is a middle value.
+    A hot group is thus split by bucket, and the per-task work is bounded
+    by the bucket width times the value resolution, not by the data. With
+    ``bucket_width=None`` step 2 is skipped (one bucket per group). The
+    median is the mean of the two middle values, exact in decimal.
     """
     v = as_money(value).alias("_v")
     hist = (df.select(*keys, v).where(F.col("_v").isNotNull())
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    bucket = (F.floor(F.col("_v") / F.lit(bucket_width)) if bucket_width else F.lit(0)).cast("long")
+    hist = hist.withColumn("_b", bucket)
+    coarse = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     by_key = Window.partitionBy(*keys)
-    running = by_key.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(running))
-                .withColumn("_n", F.sum("_c").over(by_key)))
-    lo_pos = F.expr("(_n + 1) div 2")
-    hi_pos = F.expr("_n div 2 + 1")
-    picked = hist.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") >= lo_pos, F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_cum") >= hi_pos, F.col("_v"))).alias("_hi"),
+    running = by_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coarse = (coarse.withColumn("_cum", F.sum("_bc").over(running))
+                    .withColumn("_n", F.sum("_bc").over(by_key))
+                    .withColumn("_before", F.col("_cum") - F.col("_bc")))
+    lo_pos, hi_pos = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+
+    def holds(pos):
+        return (pos > F.col("_before")) & (pos <= F.col("_cum"))
+    targets = (coarse.where(holds(lo_pos) | holds(hi_pos))
+                     .select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)],
+                             F.col("_b").alias("_tb"), "_before",
+                             lo_pos.alias("_lo_pos"), hi_pos.alias("_hi_pos")))
+    # NULL-safe equality keeps a NULL group, and adds no inferred IS NOT NULL
+    # filter to the histogram, so both uses of it share one shuffle.
+    cond = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
+    fine = hist.join(targets, [*cond, F.col("_b").eqNullSafe(F.col("_tb"))])
+    in_bucket = (Window.partitionBy(*keys, "_b").orderBy("_v")
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    fine = fine.withColumn("_pos", F.col("_before") + F.sum("_c").over(in_bucket))
+    picked = fine.groupBy(*keys).agg(
+        F.min(F.when(F.col("_pos") >= F.col("_lo_pos"), F.col("_v"))).alias("_lo"),
+        F.min(F.when(F.col("_pos") >= F.col("_hi_pos"), F.col("_v"))).alias("_hi"),
     )
     median = ((F.col("_lo").cast(SUM_T) + F.col("_hi").cast(SUM_T)) / F.lit(2))
     return picked.select(*keys, median.alias(out))

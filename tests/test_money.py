@@ -37,8 +37,15 @@ def test_pct_is_exact(spark, part, whole, places):
 @given(st.lists(cents, min_size=1, max_size=30))
 def test_exact_median(spark, values):
     df = spark.createDataFrame([("k", v) for v in values], "k string, v decimal(18,6)")
-    got = M.exact_median(df, ["k"], "v", "m").first().m
     s = sorted(values)
     n = len(s)
     want = s[n // 2] if n % 2 else (s[n // 2 - 1] + s[n // 2]) / 2
-    assert got == want
+    for width in (1000, 1, None):
+        assert M.exact_median(df, ["k"], "v", "m", bucket_width=width).first().m == want
+
+
+def test_exact_median_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, Decimal("1")), (None, Decimal("3")), ("a", Decimal("2"))],
+                               "k string, v decimal(18,6)")
+    got = {r.k: float(r.m) for r in M.exact_median(df, ["k"], "v", "m").collect()}
+    assert got == {None: 2.0, "a": 2.0}
