@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,7 +17,7 @@ DEFAULTS = {
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "farelake", **conf) -> SparkSession:
+                  app: str = "farelake", driver_memory: str = "8g", **conf) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC).
 
     When ``spark.checkpoint.dir`` is unset a fresh scratch folder is used,
@@ -26,7 +25,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     """
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("FARELAKE_DRIVER_MEMORY", "8g")))
+         .config("spark.driver.memory", driver_memory))
     for k, v in {**DEFAULTS, **conf}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
