@@ -46,6 +46,10 @@ def main() -> None:
         fn()
         times[name] = round(time.perf_counter() - t, 3)
 
+    def ok(result):
+        if not result.ok:
+            raise RuntimeError(f"load failed: {result.error}")
+
     # Source file for the ingest path (not timed): the fixture as a headered CSV.
     csv = f"{scratch}/bookings_csv"
     (booking_fixture(spark, sf_dir).orderBy("id")
@@ -64,8 +68,8 @@ def main() -> None:
     P.build_gold(warm)
     P.ingest(spark, small, warm, S.INCREMENTAL)
 
-    timed("csv_ingest", lambda: P.ingest(spark, csv, lake, S.FULL))
-    timed("promote", lambda: P.promote(spark, lake, S.FULL))
+    timed("csv_ingest", lambda: ok(P.ingest(spark, csv, lake, S.FULL)))
+    timed("promote", lambda: ok(P.promote(spark, lake, S.FULL)))
     # The silver/gold benchmark runs on the fixture's own bronze (fixture ids).
     timed("bronze_build", lambda: lake.write(B.with_row_hash(fixture_bronze(spark, sf_dir)), "bronze"))
     bronze = lake.read("bronze")
