@@ -144,3 +144,13 @@ def test_surrogate_key_null_token(spark):
     got = df.select(surrogate_key("a", "b")).first()[0]
     import hashlib
     assert got == hashlib.md5(f"A-{S.KEY_NULL}".encode()).hexdigest()
+
+
+def test_approx_median_option(spark):
+    rows = [booking(i, airline="Solo", total_fare_bdt=100 + i, base_fare_bdt=90,
+                    departure_datetime=f"2024-01-{i:02d} 06:00:00") for i in range(1, 12)]
+    stg = silver.stg_bookings(bronze_df(spark, rows))
+    fact, airline = fact_bookings(stg), dims.dim_airline(stg)
+    exact = kpi.median_fare(fact, airline).first().median_fare_bdt
+    approx = kpi.median_fare(fact, airline, S.Rules(approx_median=True)).first().median_fare_bdt
+    assert exact == 106.0 and abs(approx - exact) <= 1.0
