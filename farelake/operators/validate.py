@@ -30,6 +30,12 @@ class ValidationResult:
     # the same pass; used to prune the target of an incremental load.
     months: list | None = None
     rows: int | None = None
+    # The cached per-partition aggregate behind ``partition_counts``.
+    stats: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.stats is not None:
+            self.stats.unpersist()
 
 
 def check_frame(df: DataFrame) -> ValidationResult:
@@ -69,7 +75,7 @@ def check_frame(df: DataFrame) -> ValidationResult:
         months = [None if m == NO_MONTH else m for m in summary["months"]]
     selected = df.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]) if not missing else None
     return ValidationResult(not errors, errors, selected, per_part.select("_pid", "_n"), months,
-                            int(summary["rows"] or 0))
+                            int(summary["rows"] or 0), per_part)
 
 
 def check_structure(spark: SparkSession, path: str) -> ValidationResult:

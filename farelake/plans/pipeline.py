@@ -89,6 +89,8 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
     except Exception as e:
         log_row("FAILURE", res.rows, 0, f"Unexpected error during load: {e}")
         return L.LoadResult(False, rows_expected=res.rows or 0, error=str(e))
+    finally:
+        res.release()
     log_row("SUCCESS", out.rows_expected, out.rows_loaded, None)
     return out
 
