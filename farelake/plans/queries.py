@@ -53,37 +53,44 @@ class Layers:
 # ------------------------------------------------------------------ bronze/silver
 @query
 def raw_bookings(spark, sf):
+    """Bronze input: the fixture typed as bronze (A1 shape, D14)."""
     return _money_out(fixture_bronze(spark, sf))
 
 
 @query
 def stg_bookings(spark, sf):
+    """Silver bookings (M1: E1, D4-D9, I1, E2)."""
     return _money_out(Layers(spark, sf).stg)
 
 
 @query
 def stg_bookings_validate_first(spark, sf):
+    """Silver bookings with validity applied before dedupe (Q3 option)."""
     return _money_out(silver.stg_bookings(fixture_bronze(spark, sf), S.Rules(validate_first=True)))
 
 
 @query
 def validation_failures(spark, sf):
+    """Rejection audit with the first failing rule (M2: E3, D13)."""
     return _money_out(silver.validation_failures(fixture_bronze(spark, sf)))
 
 
 @query
 def failure_counts(spark, sf):
+    """Rejections per reason (G1 over M2)."""
     return (silver.validation_failures(fixture_bronze(spark, sf))
             .groupBy("failure_reason").agg(F.count(F.lit(1)).alias("failures")))
 
 
 @query
 def unlogged_drops(spark, sf):
+    """Bronze rows neither in silver nor in the audit (Q4)."""
     return silver.unlogged_drops(fixture_bronze(spark, sf)).select("id")
 
 
 @query
 def class_standardise(spark, sf):
+    """Raw booking class -> standard label, with counts."""
     return (fixture_bronze(spark, sf)
             .groupBy(F.col("booking_class").alias("raw_class"),
                      C.standard_class("booking_class").alias("booking_class"))
@@ -92,6 +99,7 @@ def class_standardise(spark, sf):
 
 @query
 def season_standardise(spark, sf):
+    """Raw seasonality -> standard label, with counts."""
     return (fixture_bronze(spark, sf)
             .groupBy(F.col("seasonality").alias("raw_seasonality"),
                      C.standard_season("seasonality").alias("seasonality"))
@@ -100,6 +108,7 @@ def season_standardise(spark, sf):
 
 @query
 def fare_repair(spark, sf):
+    """Total-fare repair per row."""
     df = silver.fare_validated(silver.cleaned(fixture_bronze(spark, sf)))
     return _money_out(df.select("bronze_id", "base_fare_bdt", "tax_surcharge_bdt",
                                 "total_fare_bdt", "validated_total_fare_bdt"))
@@ -107,6 +116,7 @@ def fare_repair(spark, sf):
 
 @query
 def dedupe_first(spark, sf):
+    """First copy of each dedupe group (I1, before E2)."""
     df = silver.ranked(silver.fare_validated(silver.cleaned(fixture_bronze(spark, sf))))
     return _money_out(df.where(F.col("rn") == 1).select("bronze_id", *S.DEDUPE_KEYS))
 
@@ -114,21 +124,25 @@ def dedupe_first(spark, sf):
 # ------------------------------------------------------------------ dimensions/fact
 @query
 def dim_airline(spark, sf):
+    """Airline dimension (M3: G12, L18)."""
     return Layers(spark, sf).dim_airline
 
 
 @query
 def dim_route(spark, sf):
+    """Route dimension (M4: G12, L5, L18)."""
     return Layers(spark, sf).dim_route
 
 
 @query
 def dim_date(spark, sf):
+    """Date dimension (M5: L6-L13)."""
     return Layers(spark, sf).dim_date
 
 
 @query
 def surrogate_keys(spark, sf):
+    """NULL-safe surrogate keys over raw code pairs."""
     return (fixture_bronze(spark, sf).select("source_code", "destination_code").distinct()
             .select("source_code", "destination_code",
                     surrogate_key("source_code", "destination_code").alias("route_key")))
@@ -136,17 +150,20 @@ def surrogate_keys(spark, sf):
 
 @query
 def fact_bookings_q(spark, sf):
+    """Booking fact (M6: F1-F3, D10, D11)."""
     return _money_out(Layers(spark, sf).fact)
 
 
 @query
 def tax_percentage(spark, sf):
+    """Tax percentage per booking."""
     f = Layers(spark, sf).fact
     return _money_out(f.select("booking_id", "base_fare_bdt", "tax_surcharge_bdt", "tax_percentage"))
 
 
 @query
 def lead_category(spark, sf):
+    """Bookings per lead-time bucket."""
     return (Layers(spark, sf).fact.groupBy("booking_lead_category")
             .agg(F.count(F.lit(1)).alias("bookings")))
 
@@ -154,24 +171,28 @@ def lead_category(spark, sf):
 # ------------------------------------------------------------------ gold
 @query
 def kpi_avg_fare(spark, sf):
+    """Average-fare KPI per airline (M7: G1, G3, G4, G6-G8, I2, I3)."""
     L = Layers(spark, sf)
     return kpi.kpi_avg_fare(L.fact, L.dim_airline)
 
 
 @query
 def kpi_median_fare(spark, sf):
+    """Exact median total fare per airline."""
     L = Layers(spark, sf)
     return kpi.median_fare(L.fact, L.dim_airline)
 
 
 @query
 def kpi_booking_count(spark, sf):
+    """Booking-count KPI per airline (M8: G2, G5, I2, I3, L16)."""
     L = Layers(spark, sf)
     return kpi.kpi_booking_count(L.fact, L.dim_airline)
 
 
 @query
 def kpi_booking_count_legacy(spark, sf):
+    """M8 counting the source system's original labels (Q1, Q2)."""
     rules = S.Rules(legacy_labels=True)
     L = Layers(spark, sf, rules)
     return kpi.kpi_booking_count(L.fact, L.dim_airline, rules)
@@ -179,6 +200,7 @@ def kpi_booking_count_legacy(spark, sf):
 
 @query
 def kpi_popular_routes(spark, sf):
+    """Top-50 routes KPI (M9: G11, J4, G8)."""
     L = Layers(spark, sf)
     return kpi.kpi_popular_routes(L.fact, L.dim_route)
 
@@ -192,16 +214,19 @@ def route_fanout(spark, sf):
 
 @query
 def kpi_seasonal(spark, sf):
+    """Seasonal fare variation KPI (M10: D12, G9, G10, F6)."""
     return kpi.kpi_seasonal(Layers(spark, sf).fact)
 
 
 @query
 def season_pivot(spark, sf):
+    """Peak vs non-peak comparison row."""
     return kpi.season_pivot(Layers(spark, sf).fact)
 
 
 @query
 def market_share(spark, sf):
+    """Airline market share and booking rank."""
     L = Layers(spark, sf)
     return kpi.kpi_booking_count(L.fact, L.dim_airline).select(
         "airline", "total_bookings", "market_share_pct", "booking_rank")
@@ -209,6 +234,7 @@ def market_share(spark, sf):
 
 @query
 def revenue_rank(spark, sf):
+    """Airline revenue and revenue rank."""
     L = Layers(spark, sf)
     return kpi.kpi_booking_count(L.fact, L.dim_airline).select(
         "airline", "total_revenue_bdt", "revenue_rank")
@@ -221,11 +247,13 @@ def _hashed(spark, sf):
 
 @query
 def row_hash(spark, sf):
+    """Content hash per row."""
     return _hashed(spark, sf).select("id", "row_hash")
 
 
 @query
 def duplicate_hash_metric(spark, sf):
+    """Rows minus distinct hashes."""
     return B.duplicate_hash_metric(_hashed(spark, sf))
 
 
@@ -237,18 +265,21 @@ def _incremental(spark, sf):
 
 @query
 def incremental_new_rows(spark, sf):
+    """Batch rows whose hash the target lacks."""
     batch, target = _incremental(spark, sf)
     return changes.new_rows(batch, target).select("id", "row_hash")
 
 
 @query
 def incremental_skipped(spark, sf):
+    """Batch, new and skipped row counts."""
     batch, target = _incremental(spark, sf)
     return changes.change_summary(batch, target)
 
 
 @query
 def rename_bronze(spark, sf):
+    """Staging -> bronze rename, drop and defaults."""
     staging = B.to_staging(_hashed(spark, sf))
     return _money_out(B.to_bronze(staging))
 
@@ -260,36 +291,43 @@ def _staging(spark, sf):
 
 @query
 def profile_shape(spark, sf):
+    """Row and column count."""
     return profile.shape(_staging(spark, sf))
 
 
 @query
 def profile_nulls(spark, sf):
+    """Nulls per column."""
     return profile.nulls(_staging(spark, sf))
 
 
 @query
 def profile_value_counts(spark, sf):
+    """Value counts of Seasonality, Class, Stopovers."""
     return profile.value_counts(_staging(spark, sf))
 
 
 @query
 def profile_distincts(spark, sf):
+    """Distinct airlines, sources, destinations, routes."""
     return profile.distincts(_staging(spark, sf))
 
 
 @query
 def profile_top_airlines(spark, sf):
+    """Five most frequent airlines."""
     return profile.top_values(_staging(spark, sf))
 
 
 @query
 def profile_stats(spark, sf):
+    """Min / max / mean of fares and duration."""
     return profile.stats(_staging(spark, sf))
 
 
 @query
 def profile_issues(spark, sf):
+    """Data-quality issue counters."""
     return profile.issues(_staging(spark, sf))
 
 
@@ -312,40 +350,47 @@ def _checks(kind):
 
 @query
 def dq_not_null(spark, sf):
+    """not_null checks of the silver and gold models (H1)."""
     return quality.run_checks(_model_tables(spark, sf), _checks("not_null"))
 
 
 @query
 def dq_unique(spark, sf):
+    """unique checks of the gold models (H2)."""
     return quality.run_checks(_model_tables(spark, sf), _checks("unique"))
 
 
 @query
 def dq_accepted_values(spark, sf):
+    """accepted_values checks (H3)."""
     return quality.run_checks(_model_tables(spark, sf), _checks("accepted_values"))
 
 
 # ------------------------------------------------------------------ report
 @query
 def report_layer_counts(spark, sf):
+    """Layer counts and validation rate."""
     L = Layers(spark, sf)
     return report.layer_counts(L.bronze, L.stg, L.dim_airline, L.dim_route, L.dim_date)
 
 
 @query
 def report_top_airlines(spark, sf):
+    """Top-3 airlines by bookings."""
     L = Layers(spark, sf)
     return report.top_airlines(kpi.kpi_booking_count(L.fact, L.dim_airline))
 
 
 @query
 def report_top_routes(spark, sf):
+    """Top-3 routes by bookings."""
     L = Layers(spark, sf)
     return report.top_routes(kpi.kpi_popular_routes(L.fact, L.dim_route))
 
 
 @query
 def report_seasonal(spark, sf):
+    """Bookings and mean fare per season type."""
     return report.seasonal(kpi.kpi_seasonal(Layers(spark, sf).fact))
 
 
