@@ -129,3 +129,16 @@ def test_ingest_with_profile(spark, scratch):
     nulls = {r.column_name: r.null_count for r in lake.read("profile_nulls").collect()}
     assert nulls["Seasonality"] == 1 and nulls["Airline"] == 0
     assert lake.read("profile_shape").first().total_rows == 2
+
+
+def test_quoted_fields(spark, scratch):
+    path = os.path.join(scratch, "quoted.csv")
+    row = list(ROW)
+    row[HEADER.index("Source Name")] = '"Dhaka, ""Shahjalal"" Intl"'
+    with open(path, "w") as f:
+        f.write(",".join(HEADER) + "\n")
+        f.write(",".join(row) + "\n")
+    res = validate.check_structure(spark, path)
+    assert res.ok
+    assert res.df.first()["Source Name"] == 'Dhaka, "Shahjalal" Intl'
+    assert res.df.first()["Total Fare (BDT)"] == "110"
