@@ -42,3 +42,23 @@ def test_stg_and_rejections_within_bronze(spark):
     failed = silver.validation_failures(bronze).select("bronze_id")
     assert stg.union(failed).join(ids, "bronze_id", "left_anti").count() == 0
     assert stg.join(failed, "bronze_id").count() == 0
+
+
+def test_assign_ids_follow_line_order_of_a_split_file(spark, scratch):
+    n = 20000
+    path = scratch + "/lines.csv"
+    with open(path, "w") as f:
+        f.write("seq,pad\n")
+        for i in range(n):
+            f.write(f"{i},{'x' * 40}\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "65536")          # about a dozen splits of one file
+    try:
+        df = spark.read.option("header", True).csv(path)
+        assert df.rdd.getNumPartitions() > 4
+        out = assign_ids(df, start=0).select("id", F.col("seq").cast("long").alias("seq"))
+        assert out.where(F.col("id") != F.col("seq") + 1).count() == 0
+        assert out.count() == n
+    finally:
+        spark.conf.set(key, old)
