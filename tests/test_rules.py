@@ -154,3 +154,13 @@ def test_approx_median_option(spark):
     exact = kpi.median_fare(fact, airline).first().median_fare_bdt
     approx = kpi.median_fare(fact, airline, S.Rules(approx_median=True)).first().median_fare_bdt
     assert exact == 106.0 and abs(approx - exact) <= 1.0
+
+
+def test_min_fare_drives_silver_and_audit(spark):
+    rules = S.Rules(min_fare=50)
+    rows = [booking(1, base_fare_bdt=40, total_fare_bdt=50),
+            booking(2, base_fare_bdt=60, total_fare_bdt=70, departure_datetime="2024-01-08 06:00:00")]
+    bronze = bronze_df(spark, rows)
+    assert [r.bronze_id for r in silver.stg_bookings(bronze, rules).collect()] == [2]
+    failed = {r.bronze_id: r.failure_reason for r in silver.validation_failures(bronze, rules).collect()}
+    assert failed == {1: "negative_base_fare"}
