@@ -30,7 +30,13 @@ def trimmed(df) -> str:
     for line in text.splitlines():
         line = re.sub(r"#\d+L?", "", line)
         line = re.sub(r"\[plan_id=\d+\]", "", line)
-        out.append(line[:160])
+        if "FileScan" in line:
+            head = line[:line.index("FileScan") + len("FileScan parquet")]
+            keep = [m.group(0) for m in re.finditer(
+                r"(PartitionFilters|PushedFilters|ReadSchema): (\[[^\]]*\]|struct<[^>]*>)", line)]
+            out.append(head + " " + ", ".join(keep))
+        else:
+            out.append(line[:160])
     return "\n".join(out)
 
 
