@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import bpe, exact_dedup, packing
 from .common import LOWER, UPPER, read_table
 
 
@@ -13,8 +15,31 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), vocabulary)
+    both = bpe.decode(encoded.select(F.struct("doc_id", "ids").alias("_row"), "ids"), vocabulary, "_row")
+    return both.select(
+        "_row.doc_id", (F.octet_length("_row.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("_row.ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces, packed into sequences of 2048."""
+    return packed_documents(read_table(spark, sf_dir, "documents"))
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packing.pack(pieces)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_bpe": op2_bpe,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLE_SQL = {
