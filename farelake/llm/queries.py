@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing
+from . import bpe, exact_dedup, packing, sharding
 from .common import LOWER, UPPER, read_table
 
 
@@ -36,10 +36,16 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards of near equal bytes; equal texts together."""
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL = {
