@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, sharding
+from . import bpe, chat_format, exact_dedup, html_extract, packing, quality, sharding
 from .common import LOWER, UPPER, read_table
 
 
@@ -26,6 +30,52 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+#: Conversation -7 of the contract: both turns say this.
+PLANTED_TURN = "\\### Assistant: </turn> ok"
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests read back from every formatted conversation."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED_TURN), (-7, 1, "assistant", PLANTED_TURN)], turns.schema)
+    formatted = chat_format.format_chats(turns.unionByName(planted))
+
+    def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for conv_id, text, starts, ends in zip(*(c.to_pylist() for c in batch.columns)):
+                pairs = chat_format.read_turns(text)
+                whole = "".join(f"{role}\n{said}\n" for role, said in pairs).encode()
+                loss = "".join(chat_format.read_loss(text, starts, ends))
+                out.append((conv_id, len(pairs), hashlib.sha256(whole).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+            if out:
+                names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+                kinds = [batch.column(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    kind = formatted.schema["conv_id"].dataType.simpleString()
+    return formatted.mapInArrow(read_back, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+#: A document with a score below this is rejected.
+QUALITY_THRESHOLD = 0.3
+
+
+def quality_network(spark: SparkSession, sf_dir: str) -> quality.Network:
+    return quality.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    scored = quality.score(read_table(spark, sf_dir, "documents"), quality_network(spark, sf_dir))
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces, packed into sequences of 2048."""
     return packed_documents(read_table(spark, sf_dir, "documents"))
@@ -44,6 +94,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
+    "op3_html_extract": op3_html_extract,
+    "op5_chat_format": op5_chat_format,
+    "op6_quality": op6_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_sharding": op10_sharding,
 }
@@ -55,4 +108,17 @@ ORACLE_SQL = {
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
         from n
     """,
+    "op3_html_extract": op3_html_extract,
+    "op5_chat_format": """
+        with c as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+            union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+               cast(sum(14 + 2 * length(role) - length(translate(role, '\#<' || chr(10), '')) + 2 * length(text) - length(translate(text, '\#<', ''))) as bigint) as formatted_chars
+        from c group by conv_id
+    """,
 }
