@@ -108,7 +108,6 @@ ORACLE_SQL = {
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
         from n
     """,
-    "op3_html_extract": op3_html_extract,
     "op5_chat_format": """
         with c as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
