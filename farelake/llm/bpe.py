@@ -30,7 +30,7 @@ from .tokens import encoder_for, library_tokenizer, vocabulary_text
 LONG = 8192
 LEAF = 1024
 #: Bytes of output that a worker gathers before it hands a batch on.
-FLUSH = 16_000_000
+FLUSH = 3_000_000
 
 
 def _merges(parsed: dict) -> list[tuple[str, str]]:

@@ -18,7 +18,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 #: Pieces in each of a worker's two cache generations, and the longest piece kept (characters).
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 LONGEST_CACHED = 48
 
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
