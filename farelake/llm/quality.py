@@ -22,14 +22,12 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-SAMPLE_DOCS = 1500
+SAMPLE_DOCS = 2500
 SAMPLE_CHARS = 3000
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, EMBEDDING, FILTERS, HIDDEN = 4, 8, 16, 8
 EPOCHS, BATCH, RATE, SEED = 10, 32, 0.01, 7
-#: Each training text also gives a short crop of so many bytes (log-uniform), so that short documents are known.
-CROP = (30, 400)
 #: Chunks that go through the network at once.
 BLOCK = 48
 
@@ -95,10 +93,6 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray | None = Non
         return net
     y = np.asarray(labels, np.float32)
     weight = np.ones(len(y), np.float32) if weights is None else np.asarray(weights, np.float32)
-    sizes = np.exp(rng.uniform(*np.log(CROP), len(texts))).astype(int)
-    begins = (rng.random(len(texts)) * np.maximum(1, [len(t) - n for t, n in zip(texts, sizes)])).astype(int)
-    texts = [*texts, *(t[a : a + n] for t, a, n in zip(texts, begins.tolist(), sizes.tolist()))]
-    y, weight = np.tile(y, 2), np.tile(weight, 2)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
     step, last = 0, EPOCHS * -(-len(texts) // BATCH)
     for _ in range(EPOCHS):

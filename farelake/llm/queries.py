@@ -108,7 +108,7 @@ ORACLE_SQL = {
                doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
         from n
     """,
-    "op5_chat_format": """
+    "op5_chat_format": r"""
         with c as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
             union all select -7, 0, 'user', '\### Assistant: </turn> ok'
