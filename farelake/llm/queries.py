@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, html_extract, packing, quality, sharding
+from . import ann, bpe, chat_format, exact_dedup, html_extract, minhash, packing, quality, sharding
 from .common import LOWER, UPPER, read_table
 
 
@@ -76,6 +76,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of every document."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token pieces, packed into sequences of 2048."""
     return packed_documents(read_table(spark, sf_dir, "documents"))
@@ -86,6 +91,12 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors to every vector whose id is divisible by 100."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards of near equal bytes; equal texts together."""
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
@@ -97,7 +108,9 @@ QUERIES = {
     "op3_html_extract": op3_html_extract,
     "op5_chat_format": op5_chat_format,
     "op6_quality": op6_quality,
+    "op7_minhash": op7_minhash,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_ann": op9_ann,
     "op10_sharding": op10_sharding,
 }
 
