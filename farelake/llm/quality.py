@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_or_empty
 
@@ -168,28 +169,31 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     return fit([r[2].encode() for r in rows], y, prior[y.astype(int)] if len(rows) else None)
 
 
-def score(docs: DataFrame, network: Network, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: id and ``score`` (0 to 1) of its whole text.
+def score(docs: DataFrame, network: Network, carried: tuple[str, ...] = ("doc_id",), text_column: str = "text") -> DataFrame:
+    """One row per document: the ``carried`` columns and ``score`` (0 to 1) of its whole text.
 
     Null and empty texts are scored as one chunk of zeros; repeated rows are
-    scored each on its own, alike; an empty table gives no rows; other columns
-    are ignored and play no part.
+    scored each on its own, alike; an empty table gives no rows. No other
+    column plays a part, and a carried one called ``score`` is replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(network)
-    rows = docs.select(F.col(id_column), text_or_empty(text_column).cast("binary").alias("_bytes"))
-    kind = rows.schema[id_column].dataType.simpleString()
+    names = [c for c in carried if c != "score"]
+    rows = docs.select(*(F.col(f"`{c}`") for c in names), text_or_empty(text_column).alias("_qc_text"))
+    schema = T.StructType([*(rows.schema[c] for c in names), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = sent.value
         for batch in batches:
-            texts, scores, size, begun = batch.column(1), [], 0, 0
-            lengths = [len(x.as_buffer()) for x in texts]
-            for row, n in enumerate(lengths):
-                size += n
-                if size > 4_000_000 or row == len(lengths) - 1:
-                    scores.append(net.scores([x.as_py() for x in texts.slice(begun, row + 1 - begun)]))
-                    size, begun = 0, row + 1
+            scores, texts, size = [], [], 0
+            for text in batch.column(len(names)):
+                texts.append(text.as_py().encode())
+                size += len(texts[-1])
+                if size > 2_000_000:
+                    scores.append(net.scores(texts))
+                    texts, size = [], 0
+            if texts:
+                scores.append(net.scores(texts))
             if scores:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores), pa.float64())], [id_column, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(np.concatenate(scores), pa.float64())], [*names, "score"])
 
-    return rows.mapInArrow(run, f"`{id_column}` {kind}, score double")
+    return rows.mapInArrow(run, schema)

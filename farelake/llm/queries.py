@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat_format, exact_dedup, html_extract, minhash, packing, quality, sharding
+from . import ann, bpe, chat_format, exact_dedup, html_extract, line_dedup, minhash, packing, quality, sharding
 from .common import LOWER, UPPER, read_table
 
 
@@ -35,6 +35,15 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines that repeat earlier documents, and digests of what is left of its text."""
+    cleaned = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "deleted_lines", F.size("deleted_lines").cast("long").alias("n_deleted"),
+        F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 #: Conversation -7 of the contract: both turns say this.
 PLANTED_TURN = "\\### Assistant: </turn> ok"
 
@@ -106,6 +115,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
     "op3_html_extract": op3_html_extract,
+    "op4_line_dedup": op4_line_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_quality": op6_quality,
     "op7_minhash": op7_minhash,
