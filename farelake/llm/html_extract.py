@@ -5,10 +5,11 @@ text and punctuation its nodes hold on average. The steps per page:
 
 1. aggregate text length, punctuation and nodes by path;
 2. smooth the nodes' ratios along the page with a Gaussian window;
-3. fuse: a path takes the mean of its nodes' smoothed ratios, and the share of
-   the page's prose that its best container (a prefix of the path) holds;
-4. keep the paths above the threshold, a multiple of the ratios' deviation, or
-   inside the container that holds the prose.
+3. fuse: a path's own ratio and the mean of its nodes' smoothed ones combine
+   (geometric mean), and each container (a prefix of paths) sums its prose;
+4. keep the paths above the threshold, a multiple of the ratios' deviation,
+   and the headings and paragraphs beside them in the container that holds most
+   of the prose; or all paths of an article or main element with its share.
 
 Elements that are no content by their tag, role, or class name (menus,
 footers, notices, adverts, comments, ...) have a ratio of 0 throughout. A
@@ -58,9 +59,12 @@ CONTENT_WORDS = frozenset("article post entry story content main body text".spli
 #: A header inside one of these belongs to the article.
 CONTENT_TAGS = frozenset(("article", "main"))
 
+#: Elements that hold a block of prose.
+PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td figcaption".split())
+
 SIGMA = 1.0
-#: The share of the page's prose that makes a container the article.
-CONTAINER_SHARE = 0.5
+#: The share of the page's prose that makes a container, or an article or main element, the article.
+CONTAINER_SHARE, NAMED_SHARE = 0.5, 0.2
 THRESHOLD = 0.8
 
 _TOKEN = re.compile(
@@ -173,7 +177,7 @@ def content_paths(nodes: list[_Node]) -> set[str]:
     count = np.bincount(path)
     # the extended ratio: text per node of the path, raised by the path's punctuation per node
     ratio = np.bincount(path, length) / count * (1 + np.log1p(np.bincount(path, punctuation) / count))
-    fused = np.bincount(path, _smoothed(ratio[path])) / count
+    fused = np.sqrt(ratio * np.bincount(path, _smoothed(ratio[path])) / count)
     # what each container holds of the prose
     held: dict[str, float] = {}
     by_path: dict[str, _Element] = {}
@@ -186,15 +190,20 @@ def content_paths(nodes: list[_Node]) -> set[str]:
             held[element.path] = held.get(element.path, 0.0) + mass[k]
             element = element.parent
     total = mass.sum()
-    named = [p for p in held if p.rsplit("/", 1)[1].split(".")[0] in CONTENT_TAGS]
-    blocks = [p for p in held if p.rsplit("/", 1)[1].split(".")[0] not in INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}]
-    # the deepest container with most of the prose; an article or main element needs less
-    enough = [p for p in blocks if held[p] >= CONTAINER_SHARE * total] + [p for p in named if held[p] >= 0.2 * total]
-    container = max(enough, key=lambda p: (p in named, p.count("/") if p not in named else -p.count("/"), held[p]), default="")
-    level = THRESHOLD * fused.std() + fused.mean()
-    inside = lambda p: bool(container) and (p == container or p.startswith(container + "/"))
-    beside = not container or container not in named
-    return {p for p, k in paths.items() if inside(p) or (beside and fused[k] >= level)}
+    tag = lambda p: p.rpartition("/")[2].split(".")[0]
+    inside = lambda p, top: p == top or p.startswith(top + "/")
+    # an article or main element with a fair share of the prose is the content, the outermost first
+    named = [p for p in held if tag(p) in CONTENT_TAGS and held[p] >= NAMED_SHARE * total]
+    tops = [p for p in named if not any(q != p and inside(p, q) for q in named)]
+    if tops:
+        return {p for p in paths if any(inside(p, q) for q in tops)}
+    level = THRESHOLD * fused.std()
+    over = {p for p, k in paths.items() if fused[k] >= level}
+    # headings and short paragraphs beside the prose, within the deepest container that holds most of it
+    parent = lambda p: p.rpartition("/")[0]
+    container = max((p for p in held if tag(p) not in INLINE | PROSE_TAGS and held[p] >= CONTAINER_SHARE * total), key=lambda p: p.count("/"), default="")
+    beside = {parent(p) for p in over if tag(p) in PROSE_TAGS}
+    return over | {p for p in paths if tag(p) in PROSE_TAGS and inside(p, container) and parent(p) in beside}
 
 
 def main_text(page: str) -> str:

@@ -173,7 +173,7 @@ def score(docs: DataFrame, network: Network, carried: tuple[str, ...] = ("doc_id
     """One row per document: the ``carried`` columns and ``score`` (0 to 1) of its whole text.
 
     Null and empty texts are scored as one chunk of zeros; repeated rows are
-    scored each on its own, alike; an empty table gives no rows. No other
+    scored each on its own, alike up to rounding; an empty table gives no rows. No other
     column plays a part, and a carried one called ``score`` is replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(network)

@@ -117,6 +117,7 @@ def encoder_for(vocabulary: str, pattern: str | None = None) -> PieceEncoder:
     """The worker's encoder of a vocabulary, kept from task to task; by rank if the byte-level ``pattern`` is given."""
     key = (vocabulary, pattern)
     if key not in _ENCODERS:
-        _ENCODERS.clear()
+        if len(_ENCODERS) >= 2:
+            _ENCODERS.clear()
         _ENCODERS[key] = ranked_encoder(vocabulary, pattern) if pattern else library_encoder(library_tokenizer(vocabulary))
     return _ENCODERS[key]
