@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from farelake import schema as S
+from farelake.functions.keys import strip_ws
 
 
 def departure_date(departure) -> Column:
@@ -51,11 +52,12 @@ def attributes(d: Column) -> list[Column]:
 
 
 def departure_month(departure) -> Column:
-    """``yyyy-MM`` of the departure date; NULL when the text is not a date.
+    """``yyyy-MM`` of the departure date; ``S.NO_MONTH`` when the text is not a date.
 
     Layout column of the staging and bronze tables. Its cardinality is the
-    number of calendar months, and rows with equal content hashes share it
-    (the hash covers the departure text), so an incremental load may prune
-    the target to the months of the batch.
+    number of calendar months. It is derived from the same stripped text that
+    the content hash covers, so rows with equal hashes always share it, and an
+    incremental load may prune the target to the months of the batch.
     """
-    return F.date_format(departure_date(departure), "yyyy-MM")
+    c = F.col(departure) if isinstance(departure, str) else departure
+    return F.coalesce(F.date_format(departure_date(strip_ws(c)), "yyyy-MM"), F.lit(S.NO_MONTH))

@@ -20,15 +20,28 @@ def strip_ws(c: Column) -> Column:
     return F.when(edge, F.btrim(c, F.lit(S.PY_WHITESPACE))).otherwise(c)
 
 
-def canonical_text(c: Column, dtype: T.DataType) -> Column:
+def canonical_number(c: Column) -> Column:
+    """Canonical text of a number, given as a number or as text (T5).
+
+    1, 1.0 and 1.000000 all give ``1.000000``, so no engine-specific float
+    formatting leaks in. A value with more than 6 decimals or 12 integer
+    digits keeps all of up to 18 decimals and 20 integer digits, and one
+    beyond even that its own text, so different numbers stay different.
+    """
+    short, full = c.try_cast(S.MONEY), c.try_cast("decimal(38,18)")
+    return F.when(short == full, short.cast("string")).otherwise(
+        F.coalesce(full.cast("string"), strip_ws(c.cast("string"))))
+
+
+def canonical_text(c: Column, dtype: T.DataType, numeric: bool = False) -> Column:
     """Canonical text of one value for hashing.
 
-    Numbers render through ``decimal(18,6)`` so that 1, 1.0 and 1.000000 hash
-    alike and no engine-specific float formatting leaks into the hash; text is
-    stripped of surrounding whitespace; NULL becomes the null token.
+    Numbers, and with ``numeric`` text that declares a number, render through
+    :func:`canonical_number`; other text is stripped of surrounding
+    whitespace; NULL becomes the null token.
     """
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        text = c.cast(S.MONEY).cast("string")
+    if numeric or isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        text = canonical_number(c)
     elif isinstance(dtype, T.StringType):
         text = strip_ws(c)
     else:
@@ -36,10 +49,14 @@ def canonical_text(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(text, F.lit(S.HASH_NULL))
 
 
-def row_hash(df, columns=S.ENGINE_COLUMNS) -> Column:
-    """MD5 hex of the canonical values of ``columns`` joined by ``|``."""
+def row_hash(df, columns=S.ENGINE_COLUMNS, numeric=()) -> Column:
+    """MD5 hex of the canonical values of ``columns`` joined by ``|``.
+
+    ``numeric`` names text columns that hold numbers: hashing their text
+    keeps digits that the typed column would round away.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = [canonical_text(F.col(f"`{c}`"), types[c]) for c in columns]
+    parts = [canonical_text(F.col(f"`{c}`"), types[c], c in numeric) for c in columns]
     return F.md5(F.concat_ws(S.HASH_SEPARATOR, *parts))
 
 

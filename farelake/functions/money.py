@@ -23,7 +23,8 @@ def _c(c) -> Column:
 
 
 def as_money(c) -> Column:
-    return _c(c).cast(S.MONEY)
+    """Exact money scale; a value beyond it (a duration of 10^12 hours, say) counts as missing."""
+    return _c(c).try_cast(S.MONEY)
 
 
 def avg_round(c, scale: int = 2) -> Column:
@@ -39,7 +40,7 @@ def sum_round(c, scale: int = 2) -> Column:
 
 def round_money(c, scale: int = 2) -> Column:
     """Round an exact value (decimal or a decimal-castable double)."""
-    return F.round(as_money(c), scale)
+    return F.round(_c(c).try_cast("decimal(38,6)"), scale)
 
 
 def round_double(c, scale: int = 2) -> Column:
@@ -78,29 +79,36 @@ def dbl(c) -> Column:
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 bucket_width: int | None = 1000) -> DataFrame:
+                 buckets: int = 64) -> DataFrame:
     """Exact ``percentile_cont(0.5)`` per group without holding a group in one task.
 
     1. Count rows per (group, value): a map-side combined aggregation whose
-       size is the number of distinct values, not the number of rows.
-    2. With ``bucket_width``: sum those counts per (group, value bucket of
-       that width) and run a count over each group's few buckets to find the
-       one or two buckets holding the middle positions ceil(n/2) and
-       floor(n/2)+1, with the number of rows before each.
+       size is the number of distinct values, not the number of rows. It is
+       the only scan of ``df``; the steps below share its shuffle.
+    2. Cut each group's distinct values into about ``buckets`` equal parts
+       (edges by ``percentile_approx`` over the histogram, so they follow the
+       data), sum the counts per bucket, and run a count over a group's few
+       buckets to find the one or two that hold the middle positions
+       ceil(n/2) and floor(n/2)+1, with the number of rows before each.
     3. Rank values only inside those buckets (a sort-based, spillable window
        per (group, bucket)): the first value whose running position reaches
        each middle position is a middle value.
-    A hot group is thus split by bucket, and the per-task work is bounded
-    by the bucket width times the value resolution, not by the data. With
-    ``bucket_width=None`` step 2 is skipped (one bucket per group). The
-    median is the mean of the two middle values, exact in decimal.
+    The work of a task is a part of one group's distinct values. The median is
+    the mean of the two middle values, exact in decimal. Rows with a NULL in a
+    key are left out: one filter for every use of the histogram.
     """
     v = as_money(value).alias("_v")
-    hist = (df.select(*keys, v).where(F.col("_v").isNotNull())
+    known = F.col("_v").isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    hist = (df.select(*keys, v).where(known)
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    bucket = (F.floor(F.col("_v") / F.lit(bucket_width)) if bucket_width else F.lit(0)).cast("long")
-    hist = hist.withColumn("_b", bucket)
-    coarse = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    shares = [i / buckets for i in range(1, buckets)]
+    edges = hist.groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx("_v", F.array(*[F.lit(x) for x in shares]), 1000)).alias("_edges"))
+    placed = hist.join(edges, keys).withColumn(
+        "_b", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).drop("_edges")
+    coarse = placed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     by_key = Window.partitionBy(*keys)
     running = by_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     coarse = (coarse.withColumn("_cum", F.sum("_bc").over(running))
@@ -111,16 +119,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     def holds(pos):
         return (pos > F.col("_before")) & (pos <= F.col("_cum"))
     targets = (coarse.where(holds(lo_pos) | holds(hi_pos))
-                     .select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)],
-                             F.col("_b").alias("_tb"), "_before",
-                             lo_pos.alias("_lo_pos"), hi_pos.alias("_hi_pos")))
-    # NULL-safe equality keeps a NULL group, and adds no inferred IS NOT NULL
-    # filter to the histogram, so both uses of it share one shuffle.
-    cond = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
-    fine = hist.join(targets, [*cond, F.col("_b").eqNullSafe(F.col("_tb"))])
+                     .select(*keys, "_b", "_before", lo_pos.alias("_lo_pos"), hi_pos.alias("_hi_pos")))
     in_bucket = (Window.partitionBy(*keys, "_b").orderBy("_v")
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fine = fine.withColumn("_pos", F.col("_before") + F.sum("_c").over(in_bucket))
+    fine = placed.join(targets, [*keys, "_b"]).withColumn(
+        "_pos", F.col("_before") + F.sum("_c").over(in_bucket))
     picked = fine.groupBy(*keys).agg(
         F.min(F.when(F.col("_pos") >= F.col("_lo_pos"), F.col("_v"))).alias("_lo"),
         F.min(F.when(F.col("_pos") >= F.col("_hi_pos"), F.col("_v"))).alias("_hi"),

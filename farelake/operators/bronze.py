@@ -47,7 +47,7 @@ def to_bronze(staging: DataFrame, source_system: str = S.SOURCE_SYSTEM) -> DataF
     """Rename source headers to engine names, drop staging ids, add defaults."""
     df = staging.drop("id", "ingested_at")
     if "row_hash" not in df.columns:
-        log.warning("row_hash column not found in source data")
+        log.warning("Staging rows carry no row_hash; bronze will have none either")
     df = df.withColumnsRenamed({k: v for k, v in S.RENAME.items() if k in df.columns})
     return df.withColumn("source_system", F.lit(source_system))
 

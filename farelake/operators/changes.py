@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 def target_keys(target: DataFrame, key: str = "row_hash") -> DataFrame:
     """Key-only scan of the target: column pruning leaves one column to read."""
     if key not in target.columns:
-        raise ValueError(f"{key} column required for incremental load but not found")
+        raise ValueError(f"the target has no {key} column to compare with")
     return target.select(key)
 
 
-def prune(target: DataFrame, column: str, values) -> DataFrame:
-    """Keep the target partitions whose ``column`` value is in ``values`` (static pruning)."""
-    c = F.col(column)
-    cond = c.isin([v for v in values if v is not None])
-    if any(v is None for v in values):
-        cond = cond | c.isNull()
-    return target.where(cond)
+def prune(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The target rows whose ``column`` value occurs in the batch.
+
+    ``column`` is a layout column of bounded cardinality (calendar months),
+    so its distinct batch values are broadcast, and Spark scans only those
+    target partitions (dynamic partition pruning). Nothing is collected, and
+    the result is the same whether or not Spark prunes.
+    """
+    # the comparison drops nothing; it marks the side as worth pruning by
+    values = batch.select(column).where(F.col(column) >= "").distinct()
+    return target.join(F.broadcast(values), column, "left_semi")
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash",
-             prune_by: str | None = None, prune_values=None) -> DataFrame:
+             prune_by: str | None = None) -> DataFrame:
     """Batch rows whose key is not in the target (C4).
 
     A left anti join: copies inside the batch are all kept and a NULL batch
@@ -35,12 +39,12 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash",
     (AQE splits a skewed batch partition), so the target's size is bounded
     by neither driver nor executor memory.
 
-    With ``prune_by`` (a partition column of the target that equal keys
-    always share) and the batch's ``prune_values``, only those target
-    partitions are scanned: Parquet partition filters, no full-target read.
+    With ``prune_by`` (a non-null layout column that equal keys always share
+    and that both sides carry) only the target partitions that the batch
+    touches are scanned.
     """
-    if prune_by is not None and prune_values is not None and prune_by in target.columns:
-        target = prune(target, prune_by, prune_values)
+    if prune_by is not None and prune_by in target.columns:
+        target = prune(target, batch, prune_by)
     return batch.join(target_keys(target, key).distinct(), key, "left_anti")
 
 

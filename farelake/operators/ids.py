@@ -1,18 +1,14 @@
 """Dense row ids in scan order without a global sort.
 
-``monotonically_increasing_id`` is ``(partition index << 33) + position``.
-One aggregation counts rows per input partition (one row per partition, so
-the table is bounded by the partition count and is broadcast); a running
-sum over it gives each partition's first id; each row adds its position.
-No row moves between partitions and no window runs over rows.
-
-Scan order is partition index, then position. For a single file, Spark
-orders its splits by offset (only the shorter last split can move, and it
-is last anyway), so ids follow the file's line order.
-
-The input must be a deterministic scan (files, not the output of a shuffle)
-because counts and ids come from two passes over it; a re-run of a lost
-task re-reads the same split and yields the same ids.
+Rows are written once with their scan position (``monotonically_increasing_id``
+is ``(partition index << 33) + position``). Everything that follows - the
+rows per split, the running sum that gives each split's first id, and the ids
+themselves - reads that written table, so a different split of the source in
+another pass, or a re-run of a lost task, cannot change or lose a row.
+
+Scan order is split index, then position. For a single file, Spark orders
+its splits by offset (only the shorter last split can move, and it is last
+anyway), so ids follow the file's line order.
 """
 
 from __future__ import annotations
@@ -21,28 +17,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SHIFT = 33
+POSITION = "_position"
 
 
-def partition_counts(df: DataFrame) -> DataFrame:
-    """Rows per input partition: ``(_pid, _n)``, one row per partition."""
-    return df.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+def with_positions(df: DataFrame) -> DataFrame:
+    """Add the scan position; the result is to be written before ids are assigned."""
+    return df.withColumn(POSITION, F.monotonically_increasing_id())
 
 
-def assign_ids(df: DataFrame, start: int = 0, name: str = "id",
-               counts: DataFrame | None = None) -> DataFrame:
-    """Add ``name`` = start+1 .. start+n in scan order; replaces an existing ``name``.
+def assign_ids(df: DataFrame, start: int = 0, name: str = "id", all_rows: bool = True) -> DataFrame:
+    """Replace :data:`POSITION` by ``name`` = start+1 .. start+n in scan order.
 
-    ``counts`` may carry precomputed :func:`partition_counts` of the same
-    scan (for example from a validation pass) to save one pass.
+    ``df`` reads a written table that carries :data:`POSITION`. With
+    ``all_rows`` a row's place within its split is its position; otherwise
+    (``df`` is a selection of the rows) the rows of a split are numbered by a
+    window, one split per group. The table of split sizes has one row per
+    split, and the left join keeps every row.
     """
     if name in df.columns:
         df = df.drop(name)
-    tagged = df.select("*", F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_mid"))
-    per_part = counts if counts is not None else partition_counts(df)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    j = tagged.join(F.broadcast(offsets), "_pid")
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), SHIFT)
-    ident = (F.lit(start).cast("long") + F.col("_off") + pos + 1).alias(name)
-    return j.select(ident, *df.columns)
+    split = F.shiftright(F.col(POSITION), SHIFT)
+    df = df.withColumn("_split", split)
+    sizes = df.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    if all_rows:
+        place = F.col(POSITION) - F.shiftleft(F.col("_split"), SHIFT) + 1
+    else:
+        place = F.row_number().over(Window.partitionBy("_split").orderBy(POSITION))
+    keep = [c for c in df.columns if c not in (POSITION, "_split")]
+    numbered = df.withColumn("_place", place).join(offsets, "_split", "left")
+    return numbered.select((F.lit(start).cast("long") + F.col("_offset") + F.col("_place")).alias(name),
+                           *[F.col(f"`{c}`") for c in keep])

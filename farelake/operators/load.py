@@ -34,17 +34,11 @@ class LoadResult:
 def resolve_mode(mode: str) -> str:
     """Unknown modes fall back to a full load with a warning."""
     if mode not in (S.FULL, S.INCREMENTAL):
-        log.warning("Invalid load_mode %r, defaulting to 'full'", mode)
+        log.warning("Unknown load mode %r: loading in full", mode)
         return S.FULL
     return mode
 
 
-def distinct_values(df: DataFrame, column: str, bound: int = 1000):
-    """Distinct values of a bounded-cardinality column, or None above ``bound``."""
-    vals = [r[0] for r in df.select(column).distinct().limit(bound + 1).collect()]
-    return vals if len(vals) <= bound else None
-
-
 def max_id(lake, table: str) -> int:
     if not lake.exists(table):
         return 0
@@ -54,37 +48,41 @@ def max_id(lake, table: str) -> int:
 
 def load(df: DataFrame, lake, table: str, mode: str = S.FULL,
          stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
-         prune_values=None, batch_rows: int | None = None) -> LoadResult:
+         batch_rows: int | None = None, number=None, gather: bool = True) -> LoadResult:
     """Write ``df`` (which carries ``row_hash``) into ``table``.
 
-    full: a new version replaces the table. incremental: rows whose hash the
-    table already holds are skipped and the rest appended; nothing is ever
-    updated or removed (insert-only). ``batch_rows`` is the batch size when
-    the caller already knows it (ingest counts rows in its validation pass);
-    otherwise it is counted, which for a Parquet source reads footers only.
-    Target counts before and after the load (A15, rows loaded) read Parquet
-    footers only. Loads into one table are expected to run one at a time.
-
-    ``partition_by`` lays the table out by those columns; with
-    ``prune_values`` (the batch's values of the first of them) an
-    incremental load reads only the matching target partitions.
+    full: a new version replaces the table; when it does not hold every row
+    of the batch it is not committed and the load raises. incremental: rows
+    whose hash the table already holds are skipped and the rest appended;
+    nothing is ever updated or removed (insert-only). ``batch_rows`` is the
+    batch size when the caller already knows it; otherwise it is counted,
+    which for a Parquet source reads footers only. Target counts before and
+    after the load (A15, rows loaded) read Parquet footers only. Loads into
+    one table are expected to run one at a time.
+
+    ``number(rows, start, all_rows)`` gives the rows their ids, after known
+    rows are taken out. ``partition_by`` lays the table out by those columns,
+    and an incremental load reads only the target partitions that the batch
+    touches; ``gather=False`` skips the shuffle that collects each layout
+    value's rows, for input that is laid out so already.
     """
     mode = resolve_mode(mode)
     total = df.count() if batch_rows is None else batch_rows
+    number = number or (lambda rows, start, all_rows: rows)
     if mode == S.INCREMENTAL and lake.exists(table):
         if "row_hash" not in df.columns:
-            raise ValueError("row_hash column required for incremental load but not found")
-        before = lake.read(table).count()
-        prune_by = partition_by[0] if partition_by else None
-        out = new_rows(df, lake.read(table), prune_by=prune_by, prune_values=prune_values)
-        lake.write(out, table, mode="append", stamps=stamps, partition_by=partition_by)
+            raise ValueError("an incremental load needs a row_hash column")
+        target = lake.read(table)
+        before = target.count()
+        out = new_rows(df, target, prune_by=partition_by[0] if partition_by else None)
+        lake.write(number(out, max_id(lake, table), False), table, mode="append", stamps=stamps,
+                   partition_by=partition_by, gather=gather)
         in_target = lake.read(table).count()
         loaded = in_target - before
         if loaded == 0:
-            log.info("No new records to insert - all records already exist")
+            log.info("Every row of the batch is known; the table stays as it is")
     else:
-        lake.write(df, table, mode="overwrite", stamps=stamps, partition_by=partition_by)
-        in_target = loaded = lake.read(table).count()
-        if in_target != total:
-            log.warning("Row count mismatch: source=%s, target=%s", total, in_target)
+        lake.write(number(df, 0, True), table, mode="overwrite", stamps=stamps,
+                   partition_by=partition_by, gather=gather, expected_rows=total)
+        in_target = loaded = total
     return LoadResult(True, total, loaded, total - loaded, in_target)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.functions import money as M
+from farelake.schema import Rules
 
 AIRLINE, SOURCE, DEST = "Airline", "Source", "Destination"
 BASE, TOTAL, DURATION = "Base Fare (BDT)", "Total Fare (BDT)", "Duration (hrs)"
@@ -20,21 +21,49 @@ def q(c: str) -> F.Column:
     return F.col(f"`{c}`")
 
 
-def shape(df: DataFrame) -> DataFrame:
+# Profile families that read :func:`summary` instead of the rows.
+FROM_SUMMARY = ("shape", "nulls", "null_columns", "stats", "issues", "issue_list")
+STAT_COLUMNS = (("base_fare", BASE), ("total_fare", TOTAL), ("duration", DURATION))
+
+
+def summary(df: DataFrame, max_duration: float = Rules().max_duration) -> DataFrame:
+    """One row with every global aggregate of the profile: one scan for N1, N2, N5 and N7."""
+    dur = q(DURATION)
+    stat = []
+    for name, c in STAT_COLUMNS:
+        if c in df.columns:
+            stat += [M.dbl(M.round_money(F.min(q(c)))).alias(f"{name}_min"),
+                     M.dbl(M.round_money(F.max(q(c)))).alias(f"{name}_max"),
+                     M.dbl(M.avg_round(q(c))).alias(f"{name}_mean")]
+    issue = [
+        F.count_if(q(BASE) < 0).alias("negative_base_fares"),
+        F.count_if(q(TOTAL) <= 0).alias("non_positive_total_fares"),
+        F.count_if((dur < 0) | (dur > max_duration)).alias("invalid_durations"),
+    ] if all(c in df.columns for c in (BASE, TOTAL, DURATION)) else []
+    return df.agg(F.count(F.lit(1)).alias("total_rows"),
+                  *[F.count_if(q(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)],
+                  *stat, *issue)
+
+
+def shape(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
     """Row and column count."""
-    return df.agg(F.count(F.lit(1)).alias("total_rows")).withColumn(
-        "total_columns", F.lit(len(df.columns)).cast("bigint"))
+    one = df.agg(F.count(F.lit(1)).alias("total_rows")) if one_row is None else one_row
+    return one.select("total_rows", F.lit(len(df.columns)).cast("bigint").alias("total_columns"))
 
 
-def nulls(df: DataFrame) -> DataFrame:
+def nulls(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
     """Null count and percent of rows per column, in one scan."""
     cols = df.columns
-    agg = df.agg(F.count(F.lit(1)).alias("_n"),
-                 *[F.count_if(q(c).isNull()).alias(f"_{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', `_{i}`" for i, c in enumerate(cols))
-    return agg.selectExpr("_n", f"stack({len(cols)}, {pairs}) as (column_name, null_count)").select(
+    one = summary(df) if one_row is None else one_row
+    pairs = ", ".join(f"'{c}', `_null_{i}`" for i, c in enumerate(cols))
+    return one.selectExpr("total_rows", f"stack({len(cols)}, {pairs}) as (column_name, null_count)").select(
         "column_name", F.col("null_count").cast("bigint").alias("null_count"),
-        M.dbl(M.pct(F.col("null_count"), F.col("_n"), 2)).alias("null_pct"))
+        M.dbl(M.pct(F.col("null_count"), F.col("total_rows"), 2)).alias("null_pct"))
+
+
+def null_columns(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
+    """How many columns hold nulls."""
+    return nulls(df, one_row).agg(F.count_if(F.col("null_count") > 0).alias("missing_value_columns"))
 
 
 def value_counts(df: DataFrame, columns=VALUE_COUNT_COLUMNS) -> DataFrame:
@@ -53,8 +82,14 @@ def value_counts(df: DataFrame, columns=VALUE_COUNT_COLUMNS) -> DataFrame:
 
 
 def distincts(df: DataFrame) -> DataFrame:
-    """Distinct airlines, sources, destinations and source-destination pairs."""
-    return df.agg(
+    """Distinct airlines, sources, destinations and source-destination pairs.
+
+    Rows are folded to their distinct (airline, source, destination) first,
+    with map-side combining, so the four distinct counts expand that small
+    frame and not every row.
+    """
+    small = df.groupBy(q(AIRLINE), q(SOURCE), q(DEST)).agg(F.count(F.lit(1)).alias("_n"))
+    return small.agg(
         F.count_distinct(q(AIRLINE)).alias("unique_airlines"),
         F.count_distinct(q(SOURCE)).alias("unique_sources"),
         F.count_distinct(q(DEST)).alias("unique_destinations"),
@@ -72,21 +107,22 @@ def top_values(df: DataFrame, column: str = AIRLINE, k: int = 5) -> DataFrame:
                           M.dbl(M.pct(F.col("value_count"), F.col("_n"), 1)).alias("pct")))
 
 
-def stats(df: DataFrame) -> DataFrame:
+def stats(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
     """Min / max / mean of base fare, total fare and duration."""
-    out = []
-    for name, c in (("base_fare", BASE), ("total_fare", TOTAL), ("duration", DURATION)):
-        out += [M.dbl(M.round_money(F.min(q(c)))).alias(f"{name}_min"),
-                M.dbl(M.round_money(F.max(q(c)))).alias(f"{name}_max"),
-                M.dbl(M.avg_round(q(c))).alias(f"{name}_mean")]
-    return df.agg(*out)
+    one = summary(df) if one_row is None else one_row
+    return one.select(*[f"{name}_{kind}" for name, _ in STAT_COLUMNS for kind in ("min", "max", "mean")])
+
+
+ISSUES = ("negative_base_fares", "non_positive_total_fares", "invalid_durations")
 
 
-def issues(df: DataFrame, max_duration: float = 48.0) -> DataFrame:
+def issues(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
     """Counters of data-quality issues."""
-    dur = q(DURATION)
-    return df.agg(
-        F.count_if(q(BASE) < 0).alias("negative_base_fares"),
-        F.count_if(q(TOTAL) <= 0).alias("non_positive_total_fares"),
-        F.count_if((dur < 0) | (dur > max_duration)).alias("invalid_durations"),
-    )
+    one = summary(df) if one_row is None else one_row
+    return one.select(*ISSUES)
+
+
+def issue_list(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
+    """The issues that occur, with their row counts."""
+    pairs = ", ".join(f"'{c}', {c}" for c in ISSUES)
+    return issues(df, one_row).selectExpr(f"stack({len(ISSUES)}, {pairs}) as (issue, rows)").where("rows > 0")

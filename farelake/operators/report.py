@@ -50,3 +50,22 @@ def seasonal(kpi_seasonal_df: DataFrame) -> DataFrame:
     return kpi_seasonal_df.groupBy("season_type").agg(
         F.sum("total_bookings").alias("bookings"),
         M.dbl(F.round(F.sum(x) / F.count(x).cast(M.COUNT_T), 2)).alias("avg_fare"))
+
+
+def as_one(layers: DataFrame, airlines: DataFrame, routes: DataFrame, seasons: DataFrame) -> DataFrame:
+    """The run report as one frame: ``section, item, metric, value``.
+
+    Each part is a handful of rows; the layer counts have the layer row
+    itself as their item.
+    """
+    def tall(df, section, item, metrics):
+        pairs = ", ".join(f"'{m}', cast({m} as double)" for m in metrics)
+        return df.selectExpr(f"'{section}' as section", f"{item} as item",
+                             f"stack({len(metrics)}, {pairs}) as (metric, value)")
+    parts = [
+        tall(layers, "layers", "'all'", layers.columns),
+        tall(airlines, "top_airlines", "airline", ("total_bookings", "market_share_pct")),
+        tall(routes, "top_routes", "route_code", ("total_bookings", "avg_fare_bdt")),
+        tall(seasons, "seasonal", "season_type", ("bookings", "avg_fare")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake import schema as S
-from farelake.functions import dates as D
-from farelake.sources.csv import SourceError, preflight, read_text_csv
+from farelake.operators.ids import POSITION
+from farelake.sources.csv import HEADER_ONLY, MALFORMED, SourceError, preflight, read_text_csv
 
 log = logging.getLogger(__name__)
 
-NO_MONTH = "-"          # stands for a NULL month inside collect_set
-MAX_MONTHS = 1200       # prune only when the batch spans at most 100 years of months
+INTERNAL = (MALFORMED, POSITION)
 
 
 @dataclass
@@ -23,79 +22,79 @@ class ValidationResult:
     ok: bool
     errors: list[str] = field(default_factory=list)
     df: DataFrame | None = None
-    # Rows per input partition of ``df`` (``_pid, _n``), gathered by the same
-    # pass as the type checks; reused for id assignment.
-    partition_counts: DataFrame | None = None
-    # Departure months present in the file (bounded by the calendar), from
-    # the same pass; used to prune the target of an incremental load.
-    months: list | None = None
     rows: int | None = None
-    # The cached per-partition aggregate behind ``partition_counts``.
-    stats: DataFrame | None = None
 
-    def release(self) -> None:
-        if self.stats is not None:
-            self.stats.unpersist()
+
+def missing_columns(df: DataFrame) -> list[str]:
+    """Required columns (B1) that the frame lacks; other columns are reported and ignored (B2)."""
+    extra = [c for c in df.columns if c not in S.SOURCE_COLUMNS and c not in INTERNAL]
+    if extra:
+        log.warning("Source columns outside the declared set are skipped: %s", extra)
+    return [c for c in S.SOURCE_COLUMNS if c not in df.columns]
+
+
+def _text(column: str):
+    return F.col(f"`{column}`").cast("string")
+
+
+def value_problems(df: DataFrame) -> DataFrame:
+    """One row: ``rows``, and per numeric column the values that are no number and those that do not fit."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for c in S.NUMERIC_KINDS:
+        if c not in df.columns:
+            continue
+        number = _text(c).try_cast("double")
+        aggs.append(F.count_if(_text(c).isNotNull() & number.isNull()).alias(f"text: {c}"))
+        if c in S.MONEY_SOURCE:
+            aggs.append(F.count_if(number.isNotNull() & _text(c).try_cast(S.MONEY).isNull()).alias(f"range: {c}"))
+    if MALFORMED in df.columns:
+        aggs += [F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
+                 F.min(F.substring(MALFORMED, 1, 200)).alias("malformed_line")]
+    return df.agg(*aggs)
 
 
 def check_frame(df: DataFrame) -> ValidationResult:
-    """Required columns (B1), extra columns (B2), numeric columns (B3), verdict.
+    """Required columns (B1), extra columns (B2), values (B3), verdict (B4), in one aggregation.
 
-    All numeric checks run in one pass, aggregated per input partition so
-    that the same pass also yields the partition row counts used for ids.
+    A frame without data rows, with a row of too many fields, with text in a
+    numeric column or with money that the declared type cannot hold fails.
     """
-    errors: list[str] = []
-    cols = df.columns
-    missing = [c for c in S.SOURCE_COLUMNS if c not in cols]
-    extra = [c for c in cols if c not in S.SOURCE_COLUMNS]
-    if missing:
-        errors.append(f"Missing columns: {missing}")
-    if extra:
-        log.warning("Extra columns found (will be ignored): %s", extra)
-    numeric = [c for c in S.NUMERIC_KINDS if c in cols]
-    dep = "Departure Date & Time"
-    month = [F.collect_set(F.coalesce(D.departure_month(F.trim(F.col(f"`{dep}`"))), F.lit(NO_MONTH)))
-             .alias("_months")] if dep in cols else []
-    per_part = df.groupBy(F.spark_partition_id().alias("_pid")).agg(
-        F.count(F.lit(1)).alias("_n"), *month,
-        *[F.count_if(F.col(f"`{c}`").isNotNull()
-                     & F.col(f"`{c}`").cast("string").try_cast("double").isNull()).alias(f"_{i}")
-          for i, c in enumerate(numeric)]).cache()
-    if numeric:
-        bad = per_part.agg(*[F.sum(f"_{i}") for i in range(len(numeric))]).first()
-        for i, c in enumerate(numeric):
-            if bad[i]:
-                errors.append(f"Column '{c}' expected {S.NUMERIC_KINDS[c]}, got text")
-    months = None
-    summary = per_part.agg(
-        F.sum("_n").alias("rows"),
-        *([F.array_distinct(F.flatten(F.collect_list("_months"))).alias("months")] if month else []),
-    ).first()
-    if month and len(summary["months"]) <= MAX_MONTHS:
-        months = [None if m == NO_MONTH else m for m in summary["months"]]
-    selected = df.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]) if not missing else None
-    return ValidationResult(not errors, errors, selected, per_part.select("_pid", "_n"), months,
-                            int(summary["rows"] or 0), per_part)
-
-
-def check_structure(spark: SparkSession, path: str) -> ValidationResult:
+    missing = missing_columns(df)
+    errors = [f"Missing columns: {missing}"] if missing else []
+    found = value_problems(df).first().asDict()
+    if found["rows"] == 0:
+        errors.append(HEADER_ONLY)
+    if found.get("malformed"):
+        errors.append(f"CSV parsing error: {found['malformed']} row(s) with more fields than the header, "
+                      f"such as: {found['malformed_line']}")
+    for c, kind in S.NUMERIC_KINDS.items():
+        if found.get(f"text: {c}"):
+            errors.append(f"Column '{c}' expected {kind}, got text")
+        if found.get(f"range: {c}"):
+            errors.append(f"Column '{c}' holds {found[f'range: {c}']} value(s) beyond {S.MONEY.simpleString()}")
+    keep = [*S.SOURCE_COLUMNS, *(c for c in (POSITION,) if c in df.columns)]
+    selected = df.select(*[F.col(f"`{c}`") for c in keep]) if not missing else None
+    return ValidationResult(not errors, errors, selected, int(found["rows"]))
+
+
+def check_structure(spark: SparkSession, path: str, multiline: bool = False) -> ValidationResult:
     """Preflight (A2) then :func:`check_frame` on the all-text read."""
     try:
         preflight(spark, path)
-        df = read_text_csv(spark, path)
+        df = read_text_csv(spark, path, multiline)
     except SourceError as e:
         return ValidationResult(False, [str(e)], None)
     return check_frame(df)
 
 
-def typed(df: DataFrame) -> DataFrame:
-    """Source-named text columns -> declared types (money exact, ints via rounding)."""
-    out = []
+def typed(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Source-named text columns -> declared types (money exact, ints via rounding); a position and ``keep`` stay."""
+    out = [F.col(c) for c in (POSITION, *keep) if c in df.columns]
     for src, eng in S.RENAME.items():
         c = F.col(f"`{src}`")
         t = S.ENGINE_TYPES[eng]
         if eng == "days_before_departure":
-            v = F.round(c.cast("string").try_cast("decimal(18,6)")).cast("int")
+            v = F.round(c.cast("string").try_cast("decimal(18,6)")).try_cast("int")
         elif eng in S.MONEY_COLUMNS:
             v = c.cast("string").try_cast(S.MONEY)
         else:

@@ -20,7 +20,8 @@ from farelake.operators import bronze as B
 from farelake.operators import dims, kpi, load as L, profile, quality, report, silver, validate
 from farelake.operators.fact import fact_bookings
 from farelake.functions import dates as D
-from farelake.operators.ids import assign_ids
+from farelake.operators.ids import assign_ids, with_positions
+from farelake.sources.csv import MALFORMED, SourceError, preflight, read_text_csv
 from farelake.sources.lake import Lake
 
 log = logging.getLogger(__name__)
@@ -41,27 +42,44 @@ def _now():
 
 
 # ------------------------------------------------------------------ R1 ingest
-PROFILES = ("shape", "nulls", "value_counts", "distincts", "top_values", "stats", "issues")
+PROFILES = ("shape", "nulls", "null_columns", "value_counts", "distincts", "top_values", "stats",
+            "issues", "issue_list")
 
 
 def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_") -> None:
-    """Profile a source-shaped frame (N1-N7) into ``profile_*`` tables."""
+    """Profile a source-shaped frame (N1-N7) into ``profile_*`` tables.
+
+    The families that need one row of aggregates share one scan.
+    """
+    one_row = lake.hold(profile.summary(df), "profile")
     for name in PROFILES:
-        lake.write(getattr(profile, name)(df), f"{prefix}{name}", stamps=("profiled_at",))
+        family = getattr(profile, name)
+        frame = family(df, one_row) if name in profile.FROM_SUMMARY else family(df)
+        lake.write(frame, f"{prefix}{name}", stamps=("profiled_at",))
+
+
+def hashed_rows(text: DataFrame) -> DataFrame:
+    """Typed source columns plus the content hash of their text and the layout month."""
+    for c in S.INT_SOURCE:  # 5 and 5.0 are the same day count
+        text = text.withColumn(c, F.round(F.col(f"`{c}`").try_cast("decimal(18,6)")).try_cast("int"))
+    hashes = B.row_hash(text, S.SOURCE_COLUMNS, numeric=[c for c in S.NUMERIC_KINDS if c not in S.INT_SOURCE])
+    month = D.departure_month(F.col("`Departure Date & Time`"))
+    text = text.withColumn("row_hash", hashes).withColumn(S.LAYOUT_COLUMN, month)
+    return validate.typed(text, keep=("row_hash", S.LAYOUT_COLUMN))
 
 
 def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
-           with_profile: bool = False) -> L.LoadResult:
+           with_profile: bool = True, multiline: bool = False) -> L.LoadResult:
     """Validate the CSV, hash every row, load it into staging, log the outcome.
 
-    ``with_profile`` also writes the profile tables of the typed file (the
-    source system logs this profile on every ingest); each profile family is
-    one aggregation over the file.
+    The CSV is parsed once, into a working Parquet table of text columns with
+    each row's scan position. Validation, the profile (on unless switched
+    off), ids and the load all read that table, so they see the same rows
+    however the source is split. ``multiline`` reads quoted line breaks.
     """
     started = _now()
     name = csv_path.rstrip("/").rsplit("/", 1)[-1]
     mode = L.resolve_mode(mode)
-    res = validate.check_structure(spark, csv_path)
 
     def log_row(status, expected, loaded, error):
         try:
@@ -70,38 +88,56 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
                 error_message=error, started_at=started, completed_at=_now()),
                 L.INGESTION_LOG_SCHEMA)
         except Exception as e:  # the log never fails the load
-            log.error("Failed to log ingestion result: %s", e)
+            log.error("The ingestion log could not be written: %s", e)
+
+    def failed(errors, expected=0):
+        log_row("FAILURE", expected, 0, "; ".join(errors))
+        return L.LoadResult(False, rows_expected=expected, error="; ".join(errors))
 
+    try:
+        preflight(spark, csv_path)
+        source = read_text_csv(spark, csv_path, multiline)
+        missing = validate.missing_columns(source)
+        if missing:
+            return failed([f"Missing columns: {missing}"])
+        text = lake.hold(with_positions(source.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS], MALFORMED)), "csv")
+        res = validate.check_frame(text)
+    except SourceError as e:
+        return failed([str(e)])
+    except Exception as e:
+        return failed([f"CSV parsing error: {e}"])
     if not res.ok:
-        log_row("FAILURE", 0, 0, "; ".join(res.errors))
-        return L.LoadResult(False, error="; ".join(res.errors))
-    typed = validate.typed(res.df)
-    if with_profile:
-        write_profile(lake, typed)
-    hashed = typed.withColumn("row_hash", B.row_hash(typed, S.SOURCE_COLUMNS))
-    start = L.max_id(lake, STAGING) if mode == S.INCREMENTAL else 0
-    staged = assign_ids(hashed, start, counts=res.partition_counts)
-    staged = staged.withColumn(S.LAYOUT_COLUMN, D.departure_month(F.trim(F.col("`Departure Date & Time`"))))
+        return failed(res.errors)
+    rows = hashed_rows(res.df)
     try:
-        out = L.load(staged, lake, STAGING, mode, stamps=("ingested_at",),
-                     partition_by=(S.LAYOUT_COLUMN,), prune_values=res.months,
-                     batch_rows=res.rows)
+        if with_profile:
+            write_profile(lake, rows.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]))
+            copies = B.duplicate_hash_metric(rows).first()["duplicate_rows"]
+            if copies:
+                log.warning("%s of %s rows repeat the content of another row; all are loaded", copies, res.rows)
+        out = L.load(rows, lake, STAGING, mode, stamps=("ingested_at",),
+                     partition_by=(S.LAYOUT_COLUMN,), batch_rows=res.rows,
+                     number=lambda df, start, all_rows: assign_ids(df, start, all_rows=all_rows))
     except Exception as e:
-        log_row("FAILURE", res.rows, 0, f"Unexpected error during load: {e}")
-        return L.LoadResult(False, rows_expected=res.rows or 0, error=str(e))
-    finally:
-        res.release()
+        return failed([f"Unexpected error during load: {e}"], res.rows)
     log_row("SUCCESS", out.rows_expected, out.rows_loaded, None)
     return out
 
 
 # ------------------------------------------------------------------ R2 promote
+def promoted(staging: DataFrame, offset: int = 0) -> DataFrame:
+    """Staging rows under engine names, their ids moved by ``offset``: a projection, no shuffle."""
+    bronze = B.to_bronze(staging.withColumn("_sid", F.col("id")))
+    return B.enforce_types(bronze.withColumn("id", F.col("_sid") + F.lit(offset)).drop("_sid"))
+
+
 def promote(spark: SparkSession, lake: Lake, mode: str = S.FULL) -> L.LoadResult:
     """Staging -> bronze with engine names and fresh ids.
 
     Bronze ids keep staging order: a full load reuses the staging id, an
     incremental load offsets it by the bronze table's current maximum, so
-    ids stay unique and increase with arrival without a sort.
+    ids stay unique and increase with arrival without a sort. Staging is laid
+    out by month already, so a full load moves no row between tasks.
     """
     mode = L.resolve_mode(mode)
     src, dst = f"staging.{STAGING}", f"bronze.{BRONZE}"
@@ -112,7 +148,7 @@ def promote(spark: SparkSession, lake: Lake, mode: str = S.FULL) -> L.LoadResult
                 source_table=src, target_table=dst, status=status, rows_transferred=n,
                 error_message=error, transferred_at=_now()), L.TRANSFER_LOG_SCHEMA)
         except Exception as e:
-            log.error("Failed to log transfer result: %s", e)
+            log.error("The transfer log could not be written: %s", e)
 
     staging = lake.read(STAGING) if lake.exists(STAGING) else None
     rows = staging.count() if staging is not None else 0   # Parquet footers only
@@ -120,13 +156,10 @@ def promote(spark: SparkSession, lake: Lake, mode: str = S.FULL) -> L.LoadResult
         log_row("FAILURE", 0, "No data in source table")
         return L.LoadResult(False, error="No data in source table")
     offset = L.max_id(lake, BRONZE) if mode == S.INCREMENTAL else 0
-    bronze = B.to_bronze(staging.withColumn("_sid", F.col("id")))
-    bronze = bronze.withColumn("id", F.col("_sid") + F.lit(offset)).drop("_sid")
-    bronze = B.enforce_types(bronze)
-    months = L.distinct_values(staging, S.LAYOUT_COLUMN) if mode == S.INCREMENTAL else None
     try:
-        out = L.load(bronze, lake, BRONZE, mode, stamps=("ingested_at",),
-                     partition_by=(S.LAYOUT_COLUMN,), prune_values=months, batch_rows=rows)
+        out = L.load(promoted(staging, offset), lake, BRONZE, mode, stamps=("ingested_at",),
+                     partition_by=(S.LAYOUT_COLUMN,), batch_rows=rows,
+                     gather=mode == S.INCREMENTAL)
     except Exception as e:
         log_row("FAILURE", 0, str(e))
         return L.LoadResult(False, error=str(e))
@@ -176,6 +209,10 @@ class Report:
     top_routes: DataFrame
     seasonal: DataFrame
 
+    def frame(self) -> DataFrame:
+        """The whole report as (section, position, item, metric, value)."""
+        return report.as_one(self.layers, self.top_airlines, self.top_routes, self.seasonal)
+
 
 def run_report(lake: Lake) -> Report:
     return Report(
@@ -189,13 +226,13 @@ def run_report(lake: Lake) -> Report:
 
 # ------------------------------------------------------------------ R5 whole run
 def run_pipeline(spark: SparkSession, csv_path: str, lake_root: str, mode: str = S.FULL,
-                 rules: S.Rules = S.Rules()) -> Report:
+                 rules: S.Rules = S.Rules(), with_profile: bool = True) -> Report:
     """The five steps in order; the first failure stops the run."""
     lake = Lake(spark, lake_root)
-    if not ingest(spark, csv_path, lake, mode).ok:
-        raise PipelineError("CSV validation and load failed. Check ingestion_log for details.")
+    if not ingest(spark, csv_path, lake, mode, with_profile).ok:
+        raise PipelineError("The CSV was not loaded; ingestion_log has the reason.")
     if not promote(spark, lake, mode).ok:
-        raise PipelineError("Staging to bronze transfer failed. Check transfer_log for details.")
+        raise PipelineError("Staging was not promoted to bronze; transfer_log has the reason.")
     build_silver(lake, rules)
     build_gold(lake, rules)
     return run_report(lake)

@@ -8,6 +8,7 @@ leaves as ``double``, counts as ``bigint`` and ranks as ``int``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,15 @@ from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.functions import cleaning as C
+from farelake.functions.dates import departure_month
 from farelake.functions.keys import surrogate_key
 from farelake.operators import bronze as B
-from farelake.operators import changes, dims, kpi, profile, quality, report, silver
+from farelake.operators import changes, dims, kpi, profile, quality, report, silver, validate
 from farelake.operators.fact import fact_bookings
+from farelake.operators.ids import assign_ids, with_positions
+from farelake.session import shared_dir
 from farelake.sources.fixture import fixture_bronze
+from farelake.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -277,6 +282,49 @@ def incremental_skipped(spark, sf):
     return changes.change_summary(batch, target)
 
 
+@query
+def incremental_pruned(spark, sf):
+    """New rows against a month-laid-out target with foreign rows, scanning the batch's months only.
+
+    The target holds bookings that differ from the batch's, and lacks others.
+    """
+    month = departure_month("departure_datetime")
+    other = fixture_bronze(spark, sf).where(F.col("id") % 3 != 0).withColumn(
+        "seasonality", F.when(F.col("id") % 5 == 0, F.lit("Charter")).otherwise(F.col("seasonality")))
+    target = B.with_row_hash(other).withColumn(S.LAYOUT_COLUMN, month)
+    batch = _hashed(spark, sf).withColumn(S.LAYOUT_COLUMN, month)
+    return changes.new_rows(batch, target, prune_by=S.LAYOUT_COLUMN).select("id", "row_hash")
+
+
+@query
+def row_ids(spark, sf):
+    """Ids over the whole line table: dense, from 1, none twice."""
+    lines = with_positions(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    path = f"{shared_dir(spark)}/row-ids-{uuid.uuid4().hex}"
+    lines.write.parquet(path)
+    return assign_ids(spark.read.schema(lines.schema).parquet(path)).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+        F.count_distinct("id").alias("distinct_ids"))
+
+
+@query
+def type_check(spark, sf):
+    """Values per numeric column that are text, and money that its type cannot hold."""
+    text = B.to_staging(fixture_bronze(spark, sf).select("id", *[
+        F.col(c).cast("string").alias(c) for c in S.ENGINE_COLUMNS]))
+
+    def spoiled(c, every, value, always=False):
+        hit = (F.col("id") % every == 0) & (F.lit(always) | F.col(f"`{c}`").isNotNull())
+        return text.withColumn(c, F.when(hit, F.lit(value)).otherwise(F.col(f"`{c}`")))
+    text = spoiled("Base Fare (BDT)", 17, "abc", always=True)
+    text = spoiled("Duration (hrs)", 19, "long")
+    text = spoiled("Total Fare (BDT)", 23, "1000000000000000")
+    found = validate.value_problems(text.drop("id"))
+    pairs = [(kind, c) for kind in ("text", "range") for c in S.NUMERIC_KINDS if f"{kind}: {c}" in found.columns]
+    stack = ", ".join(f"'{c}', '{kind}', `{kind}: {c}`" for kind, c in pairs)
+    return found.selectExpr(f"stack({len(pairs)}, {stack}) as (column_name, problem, rows)")
+
+
 @query
 def rename_bronze(spark, sf):
     """Staging -> bronze rename, drop and defaults."""
@@ -331,6 +379,18 @@ def profile_issues(spark, sf):
     return profile.issues(_staging(spark, sf))
 
 
+@query
+def profile_null_columns(spark, sf):
+    """How many columns hold nulls."""
+    return profile.null_columns(_staging(spark, sf))
+
+
+@query
+def profile_issue_list(spark, sf):
+    """The data-quality issues that occur."""
+    return profile.issue_list(_staging(spark, sf))
+
+
 # ------------------------------------------------------------------ data quality
 def _model_tables(spark, sf) -> dict[str, DataFrame]:
     L = Layers(spark, sf)
@@ -394,5 +454,16 @@ def report_seasonal(spark, sf):
     return report.seasonal(kpi.kpi_seasonal(Layers(spark, sf).fact))
 
 
+@query
+def run_report(spark, sf):
+    """The whole run report as one frame."""
+    L = Layers(spark, sf)
+    return report.as_one(
+        report.layer_counts(L.bronze, L.stg, L.dim_airline, L.dim_route, L.dim_date),
+        report.top_airlines(kpi.kpi_booking_count(L.fact, L.dim_airline)),
+        report.top_routes(kpi.kpi_popular_routes(L.fact, L.dim_route)),
+        report.seasonal(kpi.kpi_seasonal(L.fact)))
+
+
 # The fact query is registered under its model name.
 QUERIES["fact_bookings"] = QUERIES.pop("fact_bookings_q")

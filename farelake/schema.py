@@ -116,10 +116,12 @@ DIRECT_STOPOVER = "Direct"
 LEGACY_FIRST_CLASS = "First Class"
 LEGACY_PEAK_SEASONS = ("Eid ul-Fitr", "Eid ul-Adha", "Winter Holidays")
 
-SOURCE_SYSTEM = "staging"
+SOURCE_SYSTEM = "mysql_staging"
 
-# Partition column of the staging and bronze tables.
+# Partition column of the staging and bronze tables, and its value for rows
+# without a readable departure date.
 LAYOUT_COLUMN = "departure_month"
+NO_MONTH = "-"
 
 # ---------------------------------------------------------------------------
 # Derived declarations
@@ -132,6 +134,8 @@ ENGINE_COLUMNS = tuple(RENAME.values())
 # compact (long-backed) decimal in Spark.
 MONEY = T.DecimalType(18, 6)
 MONEY_COLUMNS = ("base_fare_bdt", "tax_surcharge_bdt", "total_fare_bdt")
+INT_SOURCE = tuple(c for c, kind in NUMERIC_KINDS.items() if kind == "int")
+MONEY_SOURCE = tuple(src for src, eng in RENAME.items() if eng in MONEY_COLUMNS)
 
 ENGINE_TYPES = {
     c: (MONEY if c in MONEY_COLUMNS

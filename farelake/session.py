@@ -1,4 +1,4 @@
-"""Session construction and cluster-shared locations."""
+"""Session construction and the folder that driver and executors share."""
 
 from __future__ import annotations
 
@@ -15,14 +15,12 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "farelake", driver_memory: str = "8g", **conf) -> SparkSession:
-    """A local session for tests and benchmarks (UI off, AQE on, UTC).
-
-    When ``spark.checkpoint.dir`` is unset a fresh scratch folder is used,
-    which is only acceptable on a single machine.
-    """
+    """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", driver_memory))
@@ -30,18 +28,21 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="farelake-ckpt-"))
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the context at the shared ``spark.checkpoint.dir`` of the session."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, for working tables.
+
+    Only a local session (tests, benchmarks), whose tasks all run on this
+    machine, gets a folder of its own when the setting is unset.
+    """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
-    return path
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="farelake-")
+    return _LOCAL_DIRS[sc.applicationId]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 # The text tokens that pandas' CSV reader turns into a missing
@@ -12,39 +13,60 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
              "nan", "null")
 
+# Column of :func:`read_text_csv`: the raw line of a row with too many fields.
+MALFORMED = "_malformed_line"
+_CORRUPT = "_corrupt_record"
+
+HEADER_ONLY = "CSV file contains only headers, no data rows"
+
 
 class SourceError(Exception):
     """The file cannot be used at all (missing, empty, header only, unreadable)."""
 
 
 def preflight(spark: SparkSession, path: str) -> None:
-    """Raise :class:`SourceError` for a missing, empty or header-only file (A2).
+    """Raise :class:`SourceError` for a missing or empty file (A2).
 
-    Reads at most two lines: existence and emptiness are checked through
-    Spark's own file listing, so the path may be on any Hadoop file system.
+    Existence and emptiness are checked through Spark's own file listing, so
+    the path may be on any Hadoop file system. Whether data rows follow the
+    header is known from the parsed rows (:mod:`farelake.operators.validate`).
     """
     try:
-        lines = spark.read.text(path)
-        n = lines.limit(2).count()
+        empty = spark.read.text(path).isEmpty()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceError(f"File not found: {path}") from None
         raise SourceError(f"CSV parsing error: {e}") from None
-    if n == 0:
+    if empty:
         raise SourceError("CSV file is empty (0 bytes)")
-    if n == 1:
-        raise SourceError("CSV file contains only headers, no data rows")
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
+def _options(multiline: bool) -> dict:
+    return dict(header=True, mode="PERMISSIVE", quote='"', escape='"', multiLine=multiline,
+                enforceSchema=False, columnPruning=False)
+
+
+def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every column as text, matched by header name, NA tokens -> NULL.
 
-    No schema inference (a full extra pass) and no user schema (which Spark
-    would apply by position, silently swapping columns).
+    The header gives the column names; no types are inferred (a full extra
+    pass). Every file of a directory must carry the same header. A row with
+    fewer fields than the header is filled with NULLs; one with more fields
+    keeps its raw text in :data:`MALFORMED`, and validation rejects the file.
+    ``multiline`` reads quoted fields that hold line breaks; such files are
+    not splittable, so each is read by one task.
     """
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .option("quote", '"').option("escape", '"').option("multiLine", False)
-          .option("enforceSchema", False).csv(path))
-    return df.select(*[
-        F.when(F.col(f"`{c}`").isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
-        for c in df.columns])
+    columns = spark.read.options(**_options(multiline)).csv(path).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
+    df = (spark.read.options(**_options(multiline), columnNameOfCorruptRecord=_CORRUPT)
+          .schema(text).csv(path))
+    # A row is flagged for too few or too many fields; only the latter has one
+    # past the last column. A letter after the line keeps an empty last field.
+    wider = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
+    fields = F.from_csv(F.concat(F.col(_CORRUPT), F.lit("x")), wider, dict(quote='"', escape='"',
+                                                                      mode="PERMISSIVE"))
+    over_long = fields[f"c{len(columns)}"].isNotNull()
+    return df.select(
+        *[F.when(F.col(f"`{c}`").isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c)
+          for c in columns],
+        F.when(F.col(_CORRUPT).isNotNull() & over_long, F.col(_CORRUPT)).alias(MALFORMED))

@@ -4,21 +4,30 @@ A table is a set of versions ``<root>/<table>/v<n>``. Overwriting writes the
 next version and then appends a commit row to ``<root>/_commits``; readers
 use the newest committed version. A failed write therefore leaves the old
 data readable, and a plan may read a table while it writes the table's
-next version (trap T8). Appends add files to the current version; Spark's
-file-commit protocol makes each append all-or-nothing.
+next version (trap T8). The commit row also holds the schema, so a version
+without rows reads as an empty table. Appends add files to the current
+version through Spark's file-commit protocol; a job that fails before its
+commit leaves the table as it was, and a repeated incremental load skips
+whatever an interrupted one had added.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 COMMITS = "_commits"
-COMMIT_SCHEMA = "table string, version string, committed_at timestamp"
+INCOMING = "_incoming"
+
+
+class RowCountError(Exception):
+    """A written version does not hold the rows it should; it is not committed."""
 
 
 class Lake:
@@ -32,29 +41,32 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._versions: dict[str, str] | None = None
+        self._versions: dict[str, tuple[str, str]] | None = None
 
     # ---------------------------------------------------------------- catalog
     def _commits(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.root}/{COMMITS}")
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
 
     def refresh(self) -> None:
         c = self._commits()
         if c is None:
             self._versions = {}
             return
-        rows = c.groupBy("table").agg(F.max_by("version", "committed_at").alias("v")).collect()
-        self._versions = {r["table"]: r["v"] for r in rows}
+        last = F.max_by(F.struct("version", "schema"), F.struct("committed_at", "version"))
+        rows = c.groupBy("table").agg(last.alias("v")).collect()
+        self._versions = {r["table"]: (r["v"]["version"], r["v"]["schema"]) for r in rows}
 
     def current(self, table: str) -> str | None:
         """Path of the newest committed version of ``table``."""
         if self._versions is None:
             self.refresh()
         v = self._versions.get(table)
-        return None if v is None else f"{self.root}/{table}/{v}"
+        return None if v is None else f"{self.root}/{table}/{v[0]}"
 
     def exists(self, table: str) -> bool:
         return self.current(table) is not None
@@ -63,31 +75,35 @@ class Lake:
         path = self.current(table)
         if path is None:
             raise FileNotFoundError(f"table {table!r} has no committed version in {self.root}")
-        return self.spark.read.parquet(path)
+        schema = T.StructType.fromJson(json.loads(self._versions[table][1]))
+        return self.spark.read.schema(schema).parquet(path)
 
-    def _commit(self, table: str, version: str) -> None:
+    def _commit(self, table: str, version: str, schema: str) -> None:
         row = self.spark.createDataFrame(
-            [(table, version)], "table string, version string").withColumn(
+            [(table, version, schema)], "table string, version string, schema string").withColumn(
             "committed_at", F.current_timestamp())
         row.write.mode("append").parquet(f"{self.root}/{COMMITS}")
         if self._versions is None:
             self.refresh()
         else:
-            self._versions[table] = version
+            self._versions[table] = (version, schema)
 
     # ---------------------------------------------------------------- writes
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",
-              stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> str:
+              stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
+              gather: bool = True, expected_rows: int | None = None) -> str:
         """Write ``df`` as a new version (overwrite) or into the current one (append).
 
-        ``partition_by`` lays the files out by those columns (Hive-style).
+        ``partition_by`` lays the files out by those columns (Hive-style);
+        ``gather`` first shuffles each value's rows together. A new version
+        with other than ``expected_rows`` rows is not committed.
 
         ``stamps`` names audit columns set to ``current_timestamp()`` at write
         time (D15), so query results stay free of wall-clock values.
         """
         for name in stamps:
             df = df.withColumn(name, F.current_timestamp())
-        if partition_by:
+        if partition_by and gather:
             # One shuffle by the layout columns so each task writes few
             # partition directories; AQE sizes the partitions and splits a
             # skewed (hot) value instead of giving it to one task.
@@ -105,9 +121,21 @@ class Lake:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        self._commit(table, version)
+        kept = [f for f in df.schema.fields if f.name not in partition_by]
+        schema = T.StructType(kept + [f for f in df.schema.fields if f.name in partition_by])
+        if expected_rows is not None:
+            rows = self.spark.read.schema(schema).parquet(path).count()
+            if rows != expected_rows:
+                raise RowCountError(f"Row count mismatch: source={expected_rows}, target={rows}")
+        self._commit(table, version, schema.json())
         return path
 
+    def hold(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a working table under the root, replaced by the next load; not a layer table."""
+        path = f"{self.root}/{INCOMING}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def append_row(self, table: str, row: dict, schema: str) -> None:
         """Append one log row."""
         cols = [c.strip().split(" ")[0] for c in schema.split(",")]

@@ -142,3 +142,132 @@ def test_quoted_fields(spark, scratch):
     assert res.ok
     assert res.df.first()["Source Name"] == 'Dhaka, "Shahjalal" Intl'
     assert res.df.first()["Total Fare (BDT)"] == "110"
+
+
+def test_every_row_is_kept_when_splits_differ_between_passes(spark, scratch, monkeypatch):
+    n = 20000
+    path = write_csv(scratch, HEADER, [[f"Air {i}"] + ROW[1:] for i in range(n)])
+    keys = {"spark.sql.leafNodeDefaultParallelism": "4", "spark.sql.files.openCostInBytes": "1024",
+            "spark.sql.files.maxPartitionBytes": "262144"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    check = validate.check_frame
+
+    def check_then_change(df):
+        out = check(df)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "32")
+        return out
+    monkeypatch.setattr(validate, "check_frame", check_then_change)
+    try:
+        lake = Lake(spark, scratch + "/lake")
+        res = P.ingest(spark, path, lake, with_profile=False)
+        assert (res.ok, res.rows_loaded) == (True, n)
+        r = lake.read(P.STAGING).agg(F.min("id"), F.max("id"), F.count_distinct("id"), F.count("*")).first()
+        assert tuple(r) == (1, n, n, n)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_short_full_load_is_not_committed(spark, scratch):
+    import pytest
+    from farelake.operators import load as L
+    from farelake.sources.lake import RowCountError
+    lake = Lake(spark, scratch + "/lake")
+    lake.write(spark.range(3).withColumn("row_hash", F.lit("x")), "t")
+    with pytest.raises(RowCountError):
+        L.load(spark.range(5).withColumn("row_hash", F.lit("x")), lake, "t", S.FULL, batch_rows=6)
+    assert Lake(spark, scratch + "/lake").read("t").count() == 3
+
+
+def test_no_data_rows_keep_the_old_version(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    assert P.ingest(spark, write_csv(scratch, HEADER, [ROW], "a.csv"), lake).ok
+    blank = os.path.join(scratch, "blank.csv")
+    with open(blank, "w") as f:
+        f.write(",".join(HEADER) + "\n\n\n")
+    parts = os.path.join(scratch, "parts")
+    os.makedirs(parts)
+    for name in ("a.csv", "b.csv"):
+        write_csv(parts, HEADER, [], name)
+    for path in (blank, parts):
+        res = P.ingest(spark, path, lake)
+        assert not res.ok and "only headers" in res.error
+        assert Lake(spark, scratch + "/lake").read(P.STAGING).count() == 1
+    assert P.ingest(spark, write_csv(scratch, HEADER, [ROW], "a.csv"), lake, S.INCREMENTAL).rows_skipped == 1
+
+
+def test_an_empty_table_is_readable(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    lake.write(spark.range(0).withColumn("m", F.lit("x")), "t", partition_by=("m",))
+    again = Lake(spark, scratch + "/lake").read("t")
+    assert again.count() == 0 and again.columns == ["id", "m"]
+
+
+def test_white_space_around_a_date_is_the_same_row(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    padded = list(ROW)
+    padded[HEADER.index("Departure Date & Time")] = "\t 2024-01-06 06:30:00"
+    assert P.ingest(spark, write_csv(scratch, HEADER, [ROW], "a.csv"), lake).rows_loaded == 1
+    res = P.ingest(spark, write_csv(scratch, HEADER, [padded], "b.csv"), lake, S.INCREMENTAL)
+    assert (res.rows_loaded, res.rows_skipped) == (0, 1)
+
+
+def test_incremental_ids_stay_dense(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    P.ingest(spark, write_csv(scratch, HEADER, [ROW], "a.csv"), lake)
+    new = [[f"Air {i}"] + ROW[1:] for i in range(3)]
+    P.ingest(spark, write_csv(scratch, HEADER, [ROW, new[0], ROW, new[1], new[2]], "b.csv"), lake, S.INCREMENTAL)
+    assert sorted(r.id for r in lake.read(P.STAGING).collect()) == [1, 2, 3, 4]
+
+
+def test_rows_with_too_many_fields_fail_with_the_line(spark, scratch):
+    long = ROW + ["more", ""]
+    trailing = ROW + [""]
+    for extra in (long, trailing):
+        res = validate.check_structure(spark, write_csv(scratch, HEADER, [ROW, extra, ROW[:10]]))
+        assert len(res.errors) == 1 and "1 row(s) with more fields" in res.errors[0] and "Air One" in res.errors[0]
+    short = validate.check_structure(spark, write_csv(scratch, HEADER, [ROW, ROW[:10]]))
+    assert short.ok and short.rows == 2
+    assert sorted(r["Class"] or "" for r in short.df.collect()) == ["", "Economy"]
+
+
+def test_line_breaks_in_quotes(spark, scratch):
+    row = list(ROW)
+    row[HEADER.index("Source Name")] = '"Dhaka\nAirport"'
+    path = os.path.join(scratch, "lines.csv")
+    with open(path, "w") as f:
+        f.write(",".join(HEADER) + "\n" + ",".join(row) + "\n" + ",".join(ROW) + "\n")
+    res = validate.check_structure(spark, path, multiline=True)
+    assert res.ok and res.rows == 2
+    assert {r["Source Name"] for r in res.df.collect()} == {"Dhaka\nAirport", "Dhaka"}
+
+
+def test_money_that_does_not_fit_is_reported(spark, scratch):
+    row = list(ROW)
+    row[HEADER.index("Total Fare (BDT)")] = "1000000000000.00"
+    res = validate.check_structure(spark, write_csv(scratch, HEADER, [ROW, row]))
+    assert res.errors == ["Column 'Total Fare (BDT)' holds 1 value(s) beyond decimal(18,6)"]
+
+
+def test_hash_keeps_all_digits(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    rows = []
+    for fare, hours in (("0.0000004", "1.0"), ("0.0000001", "1"), ("100", "1e13"), ("100.0", "10000000000000")):
+        row = list(ROW)
+        row[HEADER.index("Base Fare (BDT)")], row[HEADER.index("Duration (hrs)")] = fare, hours
+        rows.append(row)
+    assert P.ingest(spark, write_csv(scratch, HEADER, rows), lake).ok
+    hashes = [r.row_hash for r in lake.read(P.STAGING).orderBy("id").collect()]
+    assert len(set(hashes)) == 3 and hashes[2] == hashes[3]
+
+
+def test_profile_families(spark, scratch):
+    lake = Lake(spark, scratch + "/lake")
+    bad = list(ROW)
+    bad[HEADER.index("Base Fare (BDT)")] = "-1"
+    bad[HEADER.index("Class")] = ""
+    assert P.ingest(spark, write_csv(scratch, HEADER, [ROW, bad]), lake).ok
+    assert lake.read("profile_null_columns").first().missing_value_columns == 1
+    assert [(r.issue, r.rows) for r in lake.read("profile_issue_list").collect()] == [("negative_base_fares", 1)]

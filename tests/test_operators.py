@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions.money import exact_median
 from farelake.operators import silver
-from farelake.operators.ids import assign_ids
+from farelake.operators.ids import assign_ids, with_positions
 from farelake.sources.fixture import fixture_bronze
 from tests.conftest import SF_SMALL
 
@@ -16,8 +16,8 @@ from tests.conftest import SF_SMALL
 def test_assign_ids_dense_in_scan_order(spark, scratch):
     n = 5000
     spark.range(n).repartition(7).sortWithinPartitions("id").write.parquet(scratch + "/r")
-    df = spark.read.parquet(scratch + "/r").withColumnRenamed("id", "v")
-    out = assign_ids(df, start=100).select("id", F.spark_partition_id().alias("p"), "v")
+    with_positions(spark.read.parquet(scratch + "/r").withColumnRenamed("id", "v")).write.parquet(scratch + "/p")
+    out = assign_ids(spark.read.parquet(scratch + "/p"), start=100).select("id", F.spark_partition_id().alias("p"), "v")
     ids = [r.id for r in out.collect()]
     assert sorted(ids) == list(range(101, 101 + n))
     # ids increase along each partition's scan order
@@ -35,6 +35,22 @@ def test_exact_median_matches_python(spark):
         assert got[k] == float(statistics.median([v for kk, v in rows if kk == k]))
 
 
+def test_exact_median_with_all_values_close_together_and_null_keys(spark):
+    rnd = random.Random(8)
+    rows = [("a", Decimal(rnd.randint(0, 99999)) / 1000 + 5000) for _ in range(3000)]
+    df = spark.createDataFrame(rows + [(None, Decimal(1))], "k string, v decimal(18,6)")
+    got = {r.k: float(r.median) for r in exact_median(df, ["k"], "v").collect()}
+    assert got == {"a": float(statistics.median(v for _, v in rows))}
+
+
+def test_ids_of_a_selection_are_dense(spark, scratch):
+    with_positions(spark.range(0, 1000, 1, 5).withColumnRenamed("id", "v")).write.parquet(scratch + "/p")
+    some = spark.read.parquet(scratch + "/p").where(F.col("v") % 7 == 0)
+    rows = assign_ids(some, start=10, all_rows=False).orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(11, 11 + 143))
+    assert [r.v for r in rows] == sorted(r.v for r in rows)
+
+
 def test_stg_and_rejections_within_bronze(spark):
     bronze = fixture_bronze(spark, SF_SMALL)
     ids = bronze.select(F.col("id").alias("bronze_id"))
@@ -57,7 +73,8 @@ def test_assign_ids_follow_line_order_of_a_split_file(spark, scratch):
     try:
         df = spark.read.option("header", True).csv(path)
         assert df.rdd.getNumPartitions() > 4
-        out = assign_ids(df, start=0).select("id", F.col("seq").cast("long").alias("seq"))
+        with_positions(df).write.parquet(scratch + "/positions")
+        out = assign_ids(spark.read.parquet(scratch + "/positions"), start=0).select("id", F.col("seq").cast("long").alias("seq"))
         assert out.where(F.col("id") != F.col("seq") + 1).count() == 0
         assert out.count() == n
     finally:

@@ -36,6 +36,9 @@ def test_pipeline_matches_direct_queries(spark, scratch):
     assert (layers.bronze_records, layers.silver_records, layers.unique_airlines) == (6469, 4984, 25)
     assert rep.top_airlines.count() == 3 and rep.top_routes.count() == 3
     assert {r.season_type for r in rep.seasonal.collect()} == {S.PEAK, S.NON_PEAK}
+    one = rep.frame().collect()
+    assert {r.section for r in one} == {"layers", "top_airlines", "top_routes", "seasonal"}
+    assert {r.metric: r.value for r in one if r.section == "layers"}["bronze_records"] == 6469
     assert all(r.failures == 0 for r in P.data_tests(lake).collect())
 
     # A second incremental run over the same file changes nothing.

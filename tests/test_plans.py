@@ -41,8 +41,28 @@ def test_incremental_target_scan_is_pruned(spark, scratch):
          .withColumn("departure_month", departure_month("departure_datetime")))
     t.write.partitionBy("departure_month").parquet(scratch + "/t")
     target = spark.read.parquet(scratch + "/t")
-    batch = target.where(F.col("departure_month") == "1995-03")
-    q = changes.new_rows(batch, target, prune_by="departure_month", prune_values=["1995-03"])
-    text = q._jdf.queryExecution().sparkPlan().toString()
-    assert text.count("PartitionFilters: [isnotnull(departure_month") >= 2
+    t.where(F.col("departure_month") == "1995-03").write.parquet(scratch + "/batch")
+    q = changes.new_rows(spark.read.parquet(scratch + "/batch"), target, prune_by="departure_month")
+    text = q._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text
     assert q.count() == 0
+
+
+def test_median_scans_the_fact_once(spark, scratch):
+    from pyspark.sql import functions as F
+    from farelake.functions.money import exact_median
+    spark.range(1000).select((F.col("id") % 3).cast("string").alias("k"),
+                             F.col("id").cast("decimal(18,6)").alias("v")).write.parquet(scratch + "/f")
+    q = exact_median(spark.read.parquet(scratch + "/f"), ["k"], "v")
+    q.collect()
+    final = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") - final.count("ReusedExchange") <= 2
+    assert "ReusedExchange" in final
+
+
+def test_promote_moves_no_rows(spark, scratch):
+    from farelake.plans import pipeline as P
+    rows = B.with_row_hash(fixture_bronze(spark, SF_SMALL)).limit(50)
+    B.to_staging(rows).write.parquet(scratch + "/s")
+    text = P.promoted(spark.read.parquet(scratch + "/s"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text

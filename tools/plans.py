@@ -63,7 +63,7 @@ def main():
         "kpi_popular_routes (aggregate by key, windows on 1 row/route, top-k)": kpi.kpi_popular_routes(fact, dr),
         "kpi_seasonal (windows instead of a cross join)": kpi.kpi_seasonal(fact),
         "incremental_new_rows (target pruned to the batch's months; key-only, deduplicated)":
-            changes.new_rows(batch, bronze, prune_by="departure_month", prune_values=["1995-03"]),
+            changes.new_rows(batch, bronze, prune_by="departure_month"),
     }
     print(f"# Physical plans ({os.path.basename(sf.rstrip('/'))}, local[8], final adaptive plans)\n")
     print("Generated by `python tools/plans.py`. Layers are read back from Parquet, as in the pipeline.\n")
