@@ -43,33 +43,32 @@ MEMBERS = 1024
 
 
 def signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per document: ``doc``, ``n_shingles``, ``digest`` of the set, ``sig`` (little-endian uint32 minima; both null for an empty set)."""
+    """Per document: ``doc``, ``n_shingles``, ``digest`` of the set, ``keys`` of its bands (little-endian int64) and ``sketch``, a byte of each minimum; null for an empty set."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).cast("binary").alias("_bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count, digest, sig = [], [], []
+            count, digest, keys, sketch = [], [], [], []
             for s in shingle_sets(batch.column(1).to_pylist()):
+                minima = signature(s) if len(s) else None
                 count.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s) if len(s) else None)
-                sig.append(signature(s).astype("<u4").tobytes() if len(s) else None)
+                keys.append(None if minima is None else band_keys(minima[None]).astype("<i8").tobytes())
+                sketch.append(None if minima is None else (minima & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["doc", "n_shingles", "digest", "sig"])
+                [batch.column(0), pa.array(count, pa.int64()), *(pa.array(c, pa.binary()) for c in (digest, keys, sketch))],
+                ["doc", "n_shingles", "digest", "keys", "sketch"])
 
-    return rows.mapInArrow(run, "doc long, n_shingles long, digest binary, sig binary")
-
-
-def _matrix(sigs: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(sigs.to_pylist()), "<u4").reshape(-1, MINIMA)
+    return rows.mapInArrow(run, "doc long, n_shingles long, digest binary, keys binary, sketch binary")
 
 
 def _band_rows(reps: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = band_keys(_matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "rep"])
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "rep"])
 
-    return reps.select("rep", "sig").mapInArrow(run, "key long, rep long")
+    return reps.select("rep", "keys").mapInArrow(run, "key long, rep long")
 
 
 def _bucket_pairs(sorted_rows: DataFrame) -> DataFrame:
@@ -139,19 +138,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs whose signatures agree well enough."""
-    both = pairs.join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a").join(
-        reps.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b")
+    """The pairs whose signatures agree well enough, by one byte of each minimum (which only adds agreement)."""
+    both = pairs.join(reps.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(
+        reps.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b").select("a", "b", "sketch_a", "sketch_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            agree = (_matrix(batch.column(2)) == _matrix(batch.column(3))).mean(1)
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, MINIMA) for c in (2, 3))
+            agree = (a == b).mean(1)
             yield batch.select([0, 1]).filter(pa.array(agree >= THRESHOLD - MARGIN))
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def _cross_links(open_members: DataFrame, labels: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+def _cross_links(open_members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Confirmed links (u, v) between different components within open buckets."""
     labelled = written(
         open_members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "open-buckets")
@@ -173,16 +173,16 @@ def _cross_links(open_members: DataFrame, labels: DataFrame, reps: DataFrame, se
     )
     tasks = members.withColumn("_task", F.explode(F.when(F.col("_in_main"), with_main).otherwise(of_rest))).select(
         "key", "rep", "component", "_in_main", "_block", F.col("_task.i").alias("_i"), F.col("_task.j").alias("_j"))
-    rows = tasks.join(reps.select("rep", "sig"), "rep").join(sets, "rep")
+    rows = tasks.join(sets, "rep")
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         i, j = int(key[1]), int(key[2])
         frame = frame.drop_duplicates("rep").sort_values("rep")
-        sig = np.frombuffer(b"".join(frame["sig"]), "<u4").reshape(-1, MINIMA)
+        full = [_set(x) for x in frame["set"]]
+        sig = np.stack([signature(x) for x in full])
         rep, component = frame["rep"].to_numpy(), frame["component"].to_numpy()
         left = (~frame["_in_main"] & (frame["_block"] == i)).to_numpy()
         right = (frame["_in_main"] if j < 0 else ~frame["_in_main"] & (frame["_block"] == j)).to_numpy()
-        full = [_set(x) for x in frame["set"]]
         parent: dict[int, int] = {}  # of components joined here
 
         def root(c: int) -> int:
@@ -228,9 +228,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     signed = written(signatures(docs, id_column, text_column), "minhash-signed")
     in_links = signed.where(F.col("digest").isNotNull() & F.col("doc").isNotNull())
-    # equal sets have equal signatures, so any of the class will do
-    classes = written(in_links.groupBy("digest").agg(F.min("doc").alias("rep"), F.first("sig").alias("sig")), "minhash-classes")
-    reps = classes.select("rep", "sig")
+    # equal sets have equal keys and sketches, so any of the class will do
+    classes = written(in_links.groupBy("digest").agg(F.min("doc").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "minhash-classes")
+    reps = classes.select("rep", "keys", "sketch")
     bands = _band_rows(reps).repartitionByRange("key", "rep").sortWithinPartitions("key", "rep")
     tied = written(_bucket_pairs(bands), "minhash-buckets")
     cut = tied.where("key is not null and a = b").groupBy("key").agg(F.min("a").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -242,11 +242,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     shared = open_members.groupBy("key").agg(F.countDistinct("rep").alias("n")).where("n > 1").select("key")
     open_members = written(open_members.join(shared, "key", "left_semi").distinct(), "minhash-open")
     needed = plausible.select(F.col("a").alias("doc")).unionByName(plausible.select(F.col("b").alias("doc"))).unionByName(open_members.select(F.col("rep").alias("doc"))).distinct()
-    sets = written(_sets(docs.join(needed, F.col(id_column).cast("long") == F.col("doc"), "left_semi"), id_column, text_column), "minhash-sets")
+    # as many ids as near-duplicates: no bound to broadcast them by, so a merge join at every size
+    sets = written(_sets(docs.join(needed.hint("merge"), F.col(id_column).cast("long") == F.col("doc"), "left_semi"), id_column, text_column), "minhash-sets")
 
     links = written(_confirmed(plausible, sets).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links")
     labels = components(links)
-    more = written(_cross_links(open_members, labels, reps, sets), "minhash-links")
+    more = written(_cross_links(open_members, labels, sets), "minhash-links")
     labels = components(links.unionByName(more))
     by_class = classes.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("_component"))
