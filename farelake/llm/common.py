@@ -1,34 +1,18 @@
-"""Helpers shared by the operators: shared-folder tables, text columns, table readers."""
+"""Helpers of the operators: tables in the shared folder, text columns, table readers."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.session import shared_dir
+
 #: The letters that the contracts lower-case, in order.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a local session (tests), where every task runs on this machine, gets
-    a folder of its own when the setting is unset.
-    """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not sc.master.startswith("local[") and sc.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="farelake-"))
-
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: lineage ends here.
