@@ -14,6 +14,7 @@ whatever an interrupted one had added.
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 
@@ -42,6 +43,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self._versions: dict[str, tuple[str, str]] | None = None
+        self._committing = threading.Lock()
 
     # ---------------------------------------------------------------- catalog
     def _commits(self) -> DataFrame | None:
@@ -82,11 +84,12 @@ class Lake:
         row = self.spark.createDataFrame(
             [(table, version, schema)], "table string, version string, schema string").withColumn(
             "committed_at", F.current_timestamp())
-        row.write.mode("append").parquet(f"{self.root}/{COMMITS}")
-        if self._versions is None:
-            self.refresh()
-        else:
-            self._versions[table] = (version, schema)
+        with self._committing:   # appends to one folder must not overlap
+            row.write.mode("append").parquet(f"{self.root}/{COMMITS}")
+            if self._versions is None:
+                self.refresh()
+            else:
+                self._versions[table] = (version, schema)
 
     # ---------------------------------------------------------------- writes
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",
