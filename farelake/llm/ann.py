@@ -176,6 +176,8 @@ def nearest(
     points = written(points.withColumn("_copy", F.row_number().over(smallest)).where(F.col("_copy") <= k + 1).select("_id", "_vector", "_dim", "_key"), "ann-points")
     shards = points.groupBy("_dim").agg(F.countDistinct("_key").alias("_n")).select(
         "_dim", F.greatest(F.lit(1), F.ceil(F.col("_n") / shard_size)).cast("int").alias("_shards"))
+    # building is work, not bytes, so the number of tasks follows the shards and not the data's size
+    tasks = 2 * min(10_000, shards.agg(F.coalesce(F.sum("_shards"), F.lit(1))).first()[0])
     # salted, so that the shard is no function of the hash that dealt the rows
     dealt = points.join(shards, "_dim").withColumn("_shard", F.pmod(F.xxhash64("_key", F.lit(1)), F.col("_shards")).cast("int"))
 
@@ -190,7 +192,7 @@ def nearest(
             "_dim": [int(key[0])], "_shard": [int(key[1])], "_points": [distinct.tobytes()], "_edges": [edges.tobytes()], "_entry": [entry],
             "_ids": [frame["_id"].to_numpy(np.int64)[order].tobytes()], "_starts": [starts.astype(np.int64).tobytes()]})
 
-    graphs = written(dealt.groupBy("_dim", "_shard").applyInPandas(
+    graphs = written(dealt.repartition(tasks, "_dim", "_shard").groupBy("_dim", "_shard").applyInPandas(
         build, "_dim int, _shard int, _points binary, _edges binary, _entry int, _ids binary, _starts binary"), "ann-graphs")
 
     asked = written(tidy(queries).dropDuplicates(["_id"]).withColumn("_dim", F.size("_vector")), "ann-queries")
@@ -228,7 +230,8 @@ def nearest(
                 rows.append((np.full(len(best), own[i]), member[best], score[best]))
         return pd.DataFrame({name: np.concatenate(c) for name, c in zip(("query_id", id_column, "score"), zip(*rows))})
 
-    answers = routed.groupBy("_dim", "_shard", "_block")
-    found = copies.groupBy("_dim", "_shard", "_block").cogroup(answers).applyInPandas(search, f"query_id long, `{id_column}` long, score double")
+    meet = ("_dim", "_shard", "_block")
+    answers = routed.repartition(tasks, *meet).groupBy(*meet)
+    found = copies.repartition(tasks, *meet).groupBy(*meet).cogroup(answers).applyInPandas(search, f"query_id long, `{id_column}` long, score double")
     best = Window.partitionBy("query_id").orderBy("score", id_column)
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", id_column, "score")
