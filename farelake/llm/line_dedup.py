@@ -103,15 +103,15 @@ def line_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.transform(lines, lambda x: F.struct(
             F.xxhash64(x).alias("line"), F.when(x == "", 0).otherwise(F.size(F.split(x, r"\s+"))).alias("words"))).alias("lines"),
     )
-    rows = written(rows, "line-rows")
+    rows = written(rows.dropDuplicates(["doc"]), "line-rows")  # repeated rows are one document
     known = rows.select("doc", F.explode(F.array_distinct("lines")).alias("l")).select("doc", "l.line", "l.words").where(F.col("words") >= LINE_WORDS)
-    first = known.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("line", "first")
+    # written, so that the join below reads two plain shuffles and Spark can split a hot line's rows
+    first = written(known.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("line", "first"), "line-first")
     pairs = (
         known.join(first, "line").where("first <> doc")
         .groupBy("doc", "first").agg(F.sum("words").alias("shared")).where(F.col("shared") >= least).select("doc", "first")
     )
-    # repeated rows are one document
-    sequences = rows.dropDuplicates(["doc"]).select("doc", F.col("lines.line").alias("line"), F.col("lines.words").alias("words"))
+    sequences = rows.select("doc", F.col("lines.line").alias("line"), F.col("lines.words").alias("words"))
     both = pairs.join(sequences, "doc").join(sequences.select(F.col("doc").alias("first"), F.col("line").alias("earlier")), "first").select("doc", "earlier", "line", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
