@@ -160,6 +160,7 @@ def _cross_links(open_members: DataFrame, labels: DataFrame, sets: DataFrame) ->
     buckets = per_component.groupBy("key").agg(
         F.count(F.lit(1)).alias("_components"), F.sum("n").alias("_n"), F.max(F.struct("n", "component")).alias("_main")
     ).where("_components > 1").select("key", F.col("_main.component").alias("_main"), F.col("_main.n").alias("_n_main"), (F.col("_n") - F.col("_main.n")).alias("_n_rest"))
+    buckets = written(buckets, "minhash-unresolved")  # so that the join below can split a hot key's rows
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / MEMBERS)).cast("int")
     members = labelled.join(buckets, "key").select(
         "key", "rep", "component", (F.col("component") == F.col("_main")).alias("_in_main"), blocks("_n_rest").alias("_rest"), blocks("_n_main").alias("_mains"))
@@ -239,7 +240,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     plausible = written(_plausible(pairs, reps), "minhash-pairs")
     open_members = tied.where("key is not null").select("key", F.col("b").alias("rep"))
     # a bucket of one row has no pair
-    shared = open_members.groupBy("key").agg(F.countDistinct("rep").alias("n")).where("n > 1").select("key")
+    shared = written(open_members.groupBy("key").agg(F.countDistinct("rep").alias("n")).where("n > 1").select("key"), "minhash-shared")
     open_members = written(open_members.join(shared, "key", "left_semi").distinct(), "minhash-open")
     needed = plausible.select(F.col("a").alias("doc")).unionByName(plausible.select(F.col("b").alias("doc"))).unionByName(open_members.select(F.col("rep").alias("doc"))).distinct()
     # as many ids as near-duplicates: no bound to broadcast them by, so a merge join at every size
