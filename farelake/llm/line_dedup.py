@@ -1,9 +1,10 @@
 """Line dedup by pairwise alignment.
 
-1. Every line's hash points to the earliest document that holds it. A later
-   document is paired with that one when the lines they share this way add up
-   to ``MIN_WORDS`` words. It is the rare lines of a passage that point to one
-   document; frequent short lines alone make no pair. A line in any number of
+1. From each line the shortest run of consecutive lines with ``MIN_WORDS``
+   words that starts there, and the shortest that ends there, are hashed. A
+   run points to the earliest document that holds it, and each later holder is
+   paired with that one. Any block that a document repeats is covered by such
+   runs, whatever documents held its lines first. A run in any number of
    documents gives each of them one partner, so pairs grow with the lines, and
    no line needs leaving out.
 2. Patience diff aligns the two documents' line hashes: lines that are unique
@@ -12,8 +13,8 @@
 3. Aligned blocks of at least ``MIN_WORDS`` words are deleted from the later
    document.
 
-Lines are compared without white space at their ends, by 64-bit hash, and only
-runs of lines count, so one collision cannot delete much.
+Lines are compared without white space at their ends, and runs of lines by
+64-bit hashes of their lines' hashes.
 """
 
 from __future__ import annotations
@@ -23,15 +24,19 @@ from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 
-#: Words that a deleted block has at least, and that a line needs to point to a document.
+#: Words that a deleted block has at least. Lines under ``LINE_WORDS`` words repeat by chance; in a run they count like others.
 MIN_WORDS = 20
 LINE_WORDS = 3
+#: Base of the runs' hashes (odd, so that it has an inverse), and lines that are hashed at once.
+BASE = 0x9E3779B97F4A7C13
+BLOCK = 200_000
 
 
 def _anchors(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -94,6 +99,51 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> l
     return out
 
 
+def runs(hashes: np.ndarray, words: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of ``least`` words of documents whose lines lie one after another: document, hash, first and last line.
+
+    From each line the shortest run that starts there and the shortest that
+    ends there, each place once. Equal lines give equal runs, so what makes a
+    run the shortest in one document does so in any other.
+    """
+    n = len(hashes)
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    before = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    line = np.arange(n)
+    to = np.searchsorted(before, before[:-1] + least, "left") - 1
+    ok = to < offsets[owner + 1]
+    start, end = line[ok], to[ok]
+    back = np.searchsorted(before, before[1:] - least, "right") - 1
+    ok = back >= offsets[owner]
+    ok[ok] = to[back[ok]] != line[ok]  # else it is the one that starts there
+    start, end = np.concatenate([start, back[ok]]), np.concatenate([end, line[ok]])
+    # sums of hash * BASE ** line, modulo 2 ** 64; divided by the power of the first line they are the same at any place
+    power, inverse = (np.cumprod(np.append(np.uint64(1), np.full(n, x, np.uint64))) for x in (BASE, pow(BASE, -1, 1 << 64)))
+    sums = np.cumsum(np.append(np.uint64(0), hashes.view(np.uint64) * power[:-1]))
+    run = ((sums[end + 1] - sums[start]) * inverse[start]).view(np.int64)
+    return owner[start], run, start - offsets[owner[start]], end - offsets[owner[start]]
+
+
+def line_runs(rows: DataFrame, least: int) -> DataFrame:
+    """(``doc``, ``run``, ``start``, ``end``) of each document's runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False)) // BLOCK
+            for b in np.unique(block):
+                at = np.flatnonzero(block == b)
+                part = batch.slice(int(at[0]), len(at))
+                lines = part.column(1)
+                offsets = np.concatenate([[0], np.cumsum(lines.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)])
+                flat = lines.flatten()
+                owner, hashes, start, end = runs(flat.field("line").to_numpy(), flat.field("words").to_numpy(), offsets, least)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(owner)), pa.array(hashes), pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["doc", "run", "start", "end"])
+
+    kind = rows.schema["doc"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc {kind}, run long, start int, end int")
+
+
 def line_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = MIN_WORDS) -> DataFrame:
     """(id, ``_hash`` of the text, ``deleted``): for each document that repeats earlier ones, its lines to delete, counted from 0."""
     text = text_or_empty(text_column)
@@ -104,13 +154,10 @@ def line_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             F.xxhash64(x).alias("line"), F.when(x == "", 0).otherwise(F.size(F.split(x, r"\s+"))).alias("words"))).alias("lines"),
     )
     rows = written(rows.dropDuplicates(["doc"]), "line-rows")  # repeated rows are one document
-    known = rows.select("doc", F.explode(F.array_distinct("lines")).alias("l")).select("doc", "l.line", "l.words").where(F.col("words") >= LINE_WORDS)
-    # written, so that the join below reads two plain shuffles and Spark can split a hot line's rows
-    first = written(known.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("line", "first"), "line-first")
-    pairs = (
-        known.join(first, "line").where("first <> doc")
-        .groupBy("doc", "first").agg(F.sum("words").alias("shared")).where(F.col("shared") >= least).select("doc", "first")
-    )
+    known = line_runs(rows, least)
+    # written, so that the join below reads two plain shuffles and Spark can split a hot run's rows
+    first = written(known.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last").select("run", "first"), "line-first")
+    pairs = known.join(first, "run").where("first <> doc").select("doc", "first").distinct()
     sequences = rows.select("doc", F.col("lines.line").alias("line"), F.col("lines.words").alias("words"))
     both = pairs.join(sequences, "doc").join(sequences.select(F.col("doc").alias("first"), F.col("line").alias("earlier")), "first").select("doc", "earlier", "line", "words")
 

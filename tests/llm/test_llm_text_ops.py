@@ -217,6 +217,15 @@ def test_line_dedup_matches_brute_force_over_pairs(spark):
     assert any(want.values())
 
 
+def test_line_dedup_finds_a_block_whose_lines_were_first_seen_apart(spark):
+    block = [" ".join(f"part{i}of{j}" for j in range(6)) for i in range(4)] + ["so", "it ends"]
+    rows = [(i, f"start of text {i}\n{x}\nend of text {i}") for i, x in enumerate(block)]
+    rows += [(8, "eight\n" + "\n".join(block)), (9, "nine\n" + "\n".join(block) + "\nown end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.deleted_lines for r in line_dedup.dedup_lines(df).collect() if r.deleted_lines}
+    assert got == {9: [1, 2, 3, 4, 5, 6]}
+
+
 # ---------------------------------------------------------------- chats
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.text(max_size=8), st.text(max_size=20) | st.sampled_from([PLANTED_TURN, "</turn>\n### x", "\\h\\"])), min_size=1, max_size=5))
