@@ -12,6 +12,13 @@
    are aligned likewise.
 3. Aligned blocks of at least ``MIN_WORDS`` words are deleted from the later
    document.
+4. An alignment rises in both documents and takes a line once. Blocks in
+   another order, or more often in the later document, are found by the runs
+   of 1: those of the later document that the earlier one holds are deleted.
+
+So exactly those lines leave a document that belong to consecutive lines of
+``MIN_WORDS`` words or more that some earlier document holds as consecutive
+lines too. Both are taken as they came, before any deletion.
 
 Lines are compared without white space at their ends, and runs of lines by
 64-bit hashes of their lines' hashes.
@@ -124,6 +131,21 @@ def runs(hashes: np.ndarray, words: np.ndarray, offsets: np.ndarray, least: int)
     return owner[start], run, start - offsets[owner[start]], end - offsets[owner[start]]
 
 
+def repeated(a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
+    """Positions in ``b`` of all blocks with at least ``least`` of b's words that ``a`` holds, at any place and however often."""
+    gone = set(common_blocks(a, b, words, least))
+    if set(a).isdisjoint(x for j, x in enumerate(b) if j not in gone):
+        return sorted(gone)
+    known = dict(zip(b, words))
+    # a line that b lacks makes no common run, whatever its words
+    owner, run, start, end = runs(np.array(a + b, np.int64), np.array([*(known.get(x, least) for x in a), *words]), np.array([0, len(a), len(a) + len(b)]), least)
+    found = (owner == 1) & np.isin(run, run[owner == 0])
+    covers = np.zeros(len(b) + 1, np.int64)
+    np.add.at(covers, start[found], 1)
+    np.add.at(covers, end[found] + 1, -1)
+    return sorted(gone.union(np.flatnonzero(np.cumsum(covers)).tolist()))
+
+
 def line_runs(rows: DataFrame, least: int) -> DataFrame:
     """(``doc``, ``run``, ``start``, ``end``) of each document's runs."""
 
@@ -163,7 +185,7 @@ def line_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            deleted = [common_blocks(a.as_py(), b.as_py(), w.as_py(), least) for a, b, w in zip(*(batch.column(c) for c in ("earlier", "line", "words")))]
+            deleted = [repeated(a.as_py(), b.as_py(), w.as_py(), least) for a, b, w in zip(*(batch.column(c) for c in ("earlier", "line", "words")))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(deleted, pa.list_(pa.int32()))], ["doc", "deleted"])
 
     kind = rows.schema["doc"].dataType.simpleString()

@@ -226,6 +226,33 @@ def test_line_dedup_finds_a_block_whose_lines_were_first_seen_apart(spark):
     assert got == {9: [1, 2, 3, 4, 5, 6]}
 
 
+def test_line_dedup_finds_blocks_in_another_order_or_more_often(spark):
+    p, q = ("\n".join(" ".join(f"{name}{i}of{j}" for j in range(12)) for i in range(2)) for name in "pq")
+    small = [f"small line {i}" for i in range(9)]
+    rows = [
+        (1, f"one\n{p}\n{q}"), (2, f"two\n{q}\n{p}\nend of two"), (3, f"{p}\nthree\n{p}"),
+        (4, "\nnot five\n".join([*small, p])), (5, "\nown\n".join([p, *small])),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.deleted_lines for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {1: [], 2: [1, 2, 3, 4], 3: [0, 1, 3, 4], 4: [18, 19], 5: [0, 1]}
+
+
+def test_line_dedup_matches_brute_force_over_all_blocks(spark):
+    rnd = random.Random(8)
+    lines = ["", "", *(" ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 50)) for _ in range(rnd.choice((1, 2, 4, 9, 14, 22)))) for _ in range(12))]
+    rows = [(i, "\n".join(rnd.choices(lines, k=rnd.randint(1, 14)))) for i in range(80)]
+    held, want = set(), {}
+    for i, t in rows:
+        mine = t.split("\n")
+        blocks = [(a, b) for a in range(len(mine)) for b in range(a + 1, len(mine) + 1) if len(" ".join(mine[a:b]).split()) >= line_dedup.MIN_WORDS]
+        want[i] = sorted({j for a, b in blocks if tuple(mine[a:b]) in held for j in range(a, b)})
+        held |= {tuple(mine[a:b]) for a, b in blocks}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: list(r.deleted_lines) for r in line_dedup.dedup_lines(df).collect()} == want
+    assert any(want.values())
+
+
 # ---------------------------------------------------------------- chats
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.text(max_size=8), st.text(max_size=20) | st.sampled_from([PLANTED_TURN, "</turn>\n### x", "\\h\\"])), min_size=1, max_size=5))
