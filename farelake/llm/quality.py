@@ -6,8 +6,8 @@ over the chunk, and a hidden layer combines the mean of the chunks' pooled
 values into one probability.
 
 Training uses a bounded sample: at most ``SAMPLE_DOCS`` labelled documents of
-each class, of each a window of at most ``SAMPLE_CHARS`` characters at a place
-drawn from its id. Scoring reads every byte of every document.
+each class, each with its whole text, as scoring reads it. Scoring reads every
+byte of every document.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 from .common import text_or_empty
 
 SAMPLE_DOCS = 2500
-SAMPLE_CHARS = 3000
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, EMBEDDING, FILTERS, HIDDEN = 4, 8, 16, 8
@@ -112,9 +111,9 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray | None = Non
 
 def _gradients(net: Network, texts: list[bytes], y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     rows, owner = chunk_bytes(texts)
-    best = [net.responses(rows[i : i + BLOCK]) for i in range(0, len(rows), BLOCK)]
-    where = np.concatenate([b.argmax(axis=1) for b in best])  # chunks x FILTERS
-    raw = np.concatenate([b.max(axis=1) for b in best]) + net.filter_bias
+    best = [(r.argmax(axis=1), r.max(axis=1)) for r in (net.responses(rows[i : i + BLOCK]) for i in range(0, len(rows), BLOCK))]
+    where = np.concatenate([at for at, _ in best])  # chunks x FILTERS
+    raw = np.concatenate([most for _, most in best]) + net.filter_bias
     pooled = np.maximum(raw, 0)
     share = (1 / np.bincount(owner, minlength=len(texts)))[owner].astype(np.float32)
     mean = np.zeros((len(texts), FILTERS), np.float32)
@@ -152,13 +151,11 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     )
     sizes = dict(usable.groupBy("_y").count().collect())
     picks = [usable.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS) for y in (0, 1)]
-    sample = picks[0].unionByName(picks[1])  # at most 2 * SAMPLE_DOCS short rows
+    sample = picks[0].unionByName(picks[1])  # at most 2 * SAMPLE_DOCS rows
     text = text_or_empty(text_column)
-    window = F.pmod(F.xxhash64("_id", F.lit(1)), F.greatest(F.lit(1), F.char_length("_text") - SAMPLE_CHARS + 1)).cast("int")
     found = (
         docs.select(F.col(id_column).alias("_id"), text.alias("_text"))
         .join(F.broadcast(sample), "_id")
-        .select("_id", "_y", F.col("_text").substr(window + 1, F.lit(SAMPLE_CHARS)).alias("_text"))
         .groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
         .collect()
     )

@@ -68,6 +68,16 @@ def test_labels_that_are_missing_or_contradict(spark, docs):
     assert isinstance(quality.train(docs, labels.where("doc_id < 0")), quality.Network)
 
 
+def test_training_reads_whole_texts(spark, monkeypatch):
+    texts = {i: f"start {i} " + "middle " * 2000 + f"end {i}" for i in range(10)}
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, *_: seen.extend(rows))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    quality.train(df, spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int"))
+    used = df.where(~quality.held_out("doc_id")).collect()
+    assert used and sorted(seen) == sorted(r.text.encode() for r in used)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
