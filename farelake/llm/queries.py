@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat_format, exact_dedup, html_extract, line_dedup, minhash, packing, quality, sharding
-from .common import LOWER, UPPER, read_table
+from . import ann, bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, minhash, packing, periodic, quality, ranked_search, sharding
+from .common import LOWER, UPPER, read_table, text_or_empty
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +111,44 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """The documents whose id's crc32 is divisible by 10 repeat themselves from some word on, as the contract of op11 says."""
+    words = F.array_remove(F.split(text_or_empty(), r"[\x20\x09-\x0D]+"), "")
+    h, n = F.crc32(F.col("doc_id").cast("string")), F.size(words).cast("long")
+    g = F.floor(h / 10)
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    times = F.ceil((n - a) / p)
+    repeated = F.slice(F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), times.cast("int"))), F.lit(1), (n - a).cast("int"))
+    text = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), repeated), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), text).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's periodic runs, its strongest run, and of its words without the repeats."""
+    found = periodic.find_runs(planted_repeats(read_table(spark, sf_dir, "documents")))
+    # the first of the greatest exact exponent, as the runs lie by start and period
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda b, x: F.when(x["length"] * b["period"] > b["length"] * x["period"], x).otherwise(b))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(F.lit(1000) * F.col("_best.length") / F.col("_best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return ranked_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document holds of the benchmark's windows of ten words."""
+    found = decontaminate.find_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
@@ -122,8 +160,15 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_ann": op9_ann,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_decontaminate": op13_decontaminate,
 }
 
+#: Terms of op12 and words of op13, for texts that are in lower case.
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
     "op1_exact_dedup": f"""
         with n as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as t from documents)
@@ -143,4 +188,50 @@ ORACLE_SQL = {
                cast(sum(14 + 2 * length(role) - length(translate(role, '\#<' || chr(10), '')) + 2 * length(text) - length(translate(text, '\#<', ''))) as bigint) as formatted_chars
         from c group by conv_id
     """,
+    "op12_ranked_search": f"""
+        with dt as (
+            select doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}')) as term from documents),
+        it as (
+            select item_id, term, count(*) as times from (
+                select item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}')) as term from benchmark)
+            group by item_id, term),
+        lengths as (select doc_id, count(*) as n from dt group by doc_id),
+        total as (select count(*) as big_n, cast(sum(n) as bigint) as big_l from lengths),
+        postings as (select doc_id, term, count(*) as tf from dt where term in (select term from it) group by doc_id, term),
+        weights as (
+            select term, cast(floor(1000 * ln(cast(2 * big_n + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+            from postings, total group by term, big_n),
+        scored as (
+            select item_id, doc_id,
+                   cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * big_n) // big_l))))) as bigint) as score
+            from it join postings using (term) join weights using (term) join lengths using (doc_id), total
+            group by item_id, doc_id)
+        select item_id, cast(rank as int) as rank, doc_id, score from (
+            select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+            from scored where score > 0)
+        where rank <= 20
+    """,
+    "op13_decontaminate": f"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORDS}') as words from documents),
+        b as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORDS}') as words from benchmark),
+        iw as (
+            select item_id, least(10, len(words)) as width, words, unnest(generate_series(1, len(words) - least(10, len(words)) + 1)) as i
+            from b where len(words) > 0),
+        windows as (select distinct item_id, width, array_to_string(words[i : i + width - 1], ' ') as win from iw),
+        places as (
+            select doc_id, width, i, array_to_string(words[i : i + width - 1], ' ') as win from (
+                select doc_id, words, width, unnest(generate_series(1, len(words) - width + 1)) as i
+                from d, (select distinct width from windows) where len(words) >= width)),
+        found as (select p.doc_id, w.item_id, p.i, p.width from places p join windows w on p.width = w.width and p.win = w.win),
+        hits as (
+            select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(generate_series(i, i + width - 1)) as k from found) group by doc_id),
+        items as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+            from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id)
+        select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(listed, '')) as items_sha256, n_hit is not null as contaminated
+        from d left join hits using (doc_id) left join items using (doc_id)
+    """,
 }
