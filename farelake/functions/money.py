@@ -7,11 +7,14 @@ inherit binary floating-point ties. Outputs are cast to ``double`` last.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake import schema as S
+from farelake.sources.working import working
 
 SUM_T = T.DecimalType(28, 6)   # sum of MONEY-scaled values
 COUNT_T = T.DecimalType(20, 0)
@@ -78,63 +81,76 @@ def dbl(c) -> Column:
     return _c(c).cast("double")
 
 
+#: The quantile sketch behind an exact median has a rank error of one row in this many.
+SKETCH_ACCURACY = 2000
+
+
+def median_bracket(value: str, accuracy: int = SKETCH_ACCURACY) -> list[Column]:
+    """Aggregates for any group-by: the count of values, and two values between which the median lies.
+
+    A mergeable quantile sketch of bounded size gives the values at four times
+    its rank error below and above the middle.
+    """
+    v = as_money(value)
+    ends = [F.lit(0.5 + side * 4 / accuracy) for side in (-1, 1)]
+    return [F.count(v).alias("_median_n"), F.percentile_approx(v, F.array(*ends), accuracy).alias("_median_ends")]
+
+
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 buckets: int = 64) -> DataFrame:
-    """Exact ``percentile_cont(0.5)`` per group without holding a group in one task.
-
-    1. Count rows per (group, value): a map-side combined aggregation whose
-       size is the number of distinct values, not the number of rows. It is
-       the only scan of ``df``; the steps below share its shuffle.
-    2. Cut each group's distinct values into about ``buckets`` equal parts
-       (edges by ``percentile_approx`` over the histogram, so they follow the
-       data), sum the counts per bucket, and run a count over a group's few
-       buckets to find the one or two that hold the middle positions
-       ceil(n/2) and floor(n/2)+1, with the number of rows before each.
-    3. Rank values only inside those buckets (a sort-based, spillable window
-       per (group, bucket)): the first value whose running position reaches
-       each middle position is a middle value.
-    The work of a task is a part of one group's distinct values. The median is
-    the mean of the two middle values, exact in decimal. Rows with a NULL in a
-    key are left out: one filter for every use of the histogram.
+                 bucket_width: int | None = None) -> DataFrame:
+    """Exact ``percentile_cont(0.5)`` per group: a sketch, then a selection (:func:`median_within`)."""
+    brackets = working(df.groupBy(*keys).agg(*median_bracket(value)), "median")
+    return median_within(df, brackets, keys, value, out, bucket_width)
+
+
+def median_within(df: DataFrame, brackets: DataFrame, keys: list[str], value: str, out: str = "median",
+                  bucket_width: int | None = None) -> DataFrame:
+    """The median of each group of ``df``, by the sketch's ``brackets`` (a written table with :func:`median_bracket`).
+
+    One narrow scan of ``df``, with the brackets joined in by their measured
+    size. Values below a bracket are only counted, values above it are left
+    out, and values inside are counted by value; all of that is combined on the
+    map side, so what is shuffled are a group's distinct values inside, some
+    thousandths of its rows, and one count. A running count over these finds
+    the two middle values. Their mean is exact in decimal. NULL keys form
+    groups like others; groups without values are left out.
+
+    The sketch works in doubles, so its ends are moved out by more than they
+    can err. ``bucket_width`` widens them to its multiples, which are the same
+    in every run over slightly different data. A bracket that misses the middle
+    would raise an error, not give another value.
     """
-    v = as_money(value).alias("_v")
-    known = F.col("_v").isNotNull()
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    hist = (df.select(*keys, v).where(known)
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    shares = [i / buckets for i in range(1, buckets)]
-    edges = hist.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx("_v", F.array(*[F.lit(x) for x in shares]), 1000)).alias("_edges"))
-    placed = hist.join(edges, keys).withColumn(
-        "_b", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).drop("_edges")
-    coarse = placed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    by_key = Window.partitionBy(*keys)
-    running = by_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    coarse = (coarse.withColumn("_cum", F.sum("_bc").over(running))
-                    .withColumn("_n", F.sum("_bc").over(by_key))
-                    .withColumn("_before", F.col("_cum") - F.col("_bc")))
+    ends = [F.col("_median_ends")[i].cast("decimal(28,6)") for i in (0, 1)]
+    slack = [F.abs(e) * F.lit("0.000000001").cast("decimal(10,9)") + F.lit("0.000001").cast("decimal(7,6)") for e in ends]
+    low, high = ends[0] - slack[0], ends[1] + slack[1]
+    if bucket_width:
+        low, high = F.floor(low / bucket_width) * bucket_width, F.ceil(high / bucket_width) * bucket_width
+    b = brackets.select(*[F.col(k).alias(f"_of_{i}") for i, k in enumerate(keys)], "_median_n",
+                        low.cast("decimal(38,6)").alias("_low"), high.cast("decimal(38,6)").alias("_high"))
+    rows = df.select(*keys, as_money(value).alias("_v")).where(F.col("_v").isNotNull())
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_of_{i}")) for i, k in enumerate(keys)])
+    near = rows.join(b, same).where(F.col("_v") <= F.col("_high"))
+    counted = near.groupBy(*keys, F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_in")).agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_median_n").alias("_n"))
+    running = (Window.partitionBy(*keys).orderBy(F.col("_in").asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     lo_pos, hi_pos = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    picked = (counted.withColumn("_cum", F.sum("_c").over(running)).where(F.col("_in").isNotNull())
+              .groupBy(*keys).agg(
+                  F.min(F.when(F.col("_cum") >= lo_pos, F.col("_in"))).alias("_lo"),
+                  F.min(F.when(F.col("_cum") >= hi_pos, F.col("_in"))).alias("_hi"),
+                  F.min(F.col("_cum") - F.col("_c") - lo_pos).alias("_missed")))
+    median = (F.col("_lo").cast(SUM_T) + F.col("_hi").cast(SUM_T)) / F.lit(2)
+    missed = (F.col("_missed") >= 0) | F.col("_hi").isNull()
+    return picked.select(*keys, F.when(missed, F.raise_error(F.lit("the median lies outside its bracket"))).otherwise(median).alias(out))
+
 
-    def holds(pos):
-        return (pos > F.col("_before")) & (pos <= F.col("_cum"))
-    targets = (coarse.where(holds(lo_pos) | holds(hi_pos))
-                     .select(*keys, "_b", "_before", lo_pos.alias("_lo_pos"), hi_pos.alias("_hi_pos")))
-    in_bucket = (Window.partitionBy(*keys, "_b").orderBy("_v")
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fine = placed.join(targets, [*keys, "_b"]).withColumn(
-        "_pos", F.col("_before") + F.sum("_c").over(in_bucket))
-    picked = fine.groupBy(*keys).agg(
-        F.min(F.when(F.col("_pos") >= F.col("_lo_pos"), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_pos") >= F.col("_hi_pos"), F.col("_v"))).alias("_hi"),
-    )
-    median = ((F.col("_lo").cast(SUM_T) + F.col("_hi").cast(SUM_T)) / F.lit(2))
-    return picked.select(*keys, median.alias(out))
+def approx_median_of(value: str, accuracy: int = 100000) -> Column:
+    """Bounded-memory approximate median as an aggregate (``percentile_approx``)."""
+    return F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).cast(SUM_T)
 
 
 def approx_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
                   accuracy: int = 100000) -> DataFrame:
-    """Bounded-memory approximate median (``percentile_approx``)."""
-    return (df.groupBy(*keys)
-              .agg(F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy)
-                   .cast(SUM_T).alias(out)))
+    """Approximate median per group."""
+    return df.groupBy(*keys).agg(approx_median_of(value, accuracy).alias(out))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.sources.working import working
+
+#: Distinct batch keys that may be broadcast: some 60 MB of 32-character hashes.
+BROADCAST_KEYS = 1_000_000
+
 
 def target_keys(target: DataFrame, key: str = "row_hash") -> DataFrame:
     """Key-only scan of the target: column pruning leaves one column to read."""
@@ -26,18 +31,31 @@ def prune(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
     return target.join(F.broadcast(values), column, "left_semi")
 
 
+def known_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
+    """The batch's distinct non-null keys that the target holds.
+
+    The batch's keys are written and counted. Up to :data:`BROADCAST_KEYS`,
+    they reduce the target where it is scanned (a broadcast semi join): of the
+    target, only keys of the batch are ever shuffled, and the result, which is
+    no larger, may be broadcast too. Beyond that, the target's keys are folded
+    on the map side and shuffled.
+    """
+    keys = working(batch.select(key).where(F.col(key).isNotNull()).distinct(), "batch-keys")
+    if keys.count() <= BROADCAST_KEYS:   # Parquet footers
+        return F.broadcast(target_keys(target, key).join(F.broadcast(keys), key, "left_semi").distinct())
+    return target_keys(target, key).distinct()
+
+
 def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash",
              prune_by: str | None = None) -> DataFrame:
     """Batch rows whose key is not in the target (C4).
 
     A left anti join: copies inside the batch are all kept and a NULL batch
-    key always counts as new, as with a set-membership test. The target's
-    keys are deduplicated first: the partial aggregation folds a key that
-    many target rows share before any shuffle, and its hash partitioning is
-    the one the join needs. Spark broadcasts the key side only when its
-    size is known to be small and otherwise runs a sort-merge anti join
-    (AQE splits a skewed batch partition), so the target's size is bounded
-    by neither driver nor executor memory.
+    key always counts as new, as with a set-membership test. The target is
+    reduced by the batch's keys first (:func:`known_keys`). A larger batch
+    meets the target's distinct keys in a sort-merge anti join, whose skewed
+    batch partitions AQE splits, so the target's size is bounded by neither
+    driver nor executor memory.
 
     With ``prune_by`` (a non-null layout column that equal keys always share
     and that both sides carry) only the target partitions that the batch
@@ -45,13 +63,13 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash",
     """
     if prune_by is not None and prune_by in target.columns:
         target = prune(target, batch, prune_by)
-    return batch.join(target_keys(target, key).distinct(), key, "left_anti")
+    return batch.join(known_keys(batch, target, key), key, "left_anti")
 
 
 def change_summary(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
     """One row: ``batch_rows, new_rows, skipped_rows`` (C4 ``rows_skipped``)."""
-    marked = batch.select(key).join(
-        target_keys(target, key).distinct().withColumn("_seen", F.lit(True)), key, "left")
+    known = known_keys(batch, target, key).withColumn("_seen", F.lit(True))
+    marked = batch.select(key).join(known, key, "left")
     return marked.agg(
         F.count(F.lit(1)).alias("batch_rows"),
         F.count_if(F.col("_seen").isNull()).alias("new_rows"),

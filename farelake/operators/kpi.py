@@ -5,8 +5,9 @@ two-phase hash aggregation: partial aggregates per map partition, then one
 small shuffle), and only then join the aggregate - one row per airline or
 route - to the dimension for its names. Spark does not push aggregation
 below joins by itself, and joining first would shuffle or broadcast against
-every booking row. Ranks and shares are windows over these per-dimension
-aggregates (one row per airline / route / season), never over bookings.
+every booking row. The per-dimension result (one row per airline or route) is
+a working table: its count and totals are known before ranks and shares are
+planned (:mod:`farelake.operators.ranking`), and no plan computes it twice.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 from farelake import schema as S
 from farelake.functions import cleaning as C
 from farelake.functions import money as M
+from farelake.operators.ranking import with_ranks
+from farelake.sources.working import working
 
 D2 = T.DecimalType(20, 2)
 
@@ -27,13 +30,11 @@ def _all() -> Window:
     return Window.partitionBy()
 
 
-def _rank_desc(c: str) -> F.Column:
-    # PostgreSQL orders DESC with NULLs first.
-    return F.rank().over(Window.orderBy(F.col(c).desc_nulls_first())).cast("int")
-
-
-def _share(c: str, scale: int = 2) -> F.Column:
-    return M.pct(F.col(c), F.sum(c).over(_all()), scale)
+def _sized(df: DataFrame, name: str) -> tuple[DataFrame, int, F.Column]:
+    """The per-dimension frame as a working table, its rows and its total of bookings."""
+    df = working(df, name)
+    rows, total = df.agg(F.count(F.lit(1)), F.sum("total_bookings")).first()
+    return df, rows, F.lit(total).cast("bigint")
 
 
 def _first_label(rules: S.Rules) -> str:
@@ -51,11 +52,6 @@ def _class_counts(rules: S.Rules) -> list[F.Column]:
             F.count_if(cls == _first_label(rules)).alias("first_class_bookings")]
 
 
-def _median(fact: DataFrame, key: str, rules: S.Rules) -> DataFrame:
-    fn = M.approx_median if rules.approx_median else M.exact_median
-    return fn(fact, [key], "total_fare_bdt", "_median")
-
-
 # --------------------------------------------------------------------------- M7
 def kpi_avg_fare(fact: DataFrame, dim_airline: DataFrame,
                  rules: S.Rules = S.Rules()) -> DataFrame:
@@ -73,9 +69,13 @@ def kpi_avg_fare(fact: DataFrame, dim_airline: DataFrame,
         M.avg_round(dur).alias("avg_duration_hours"),
         # avg(total) / avg(duration) == sum(total) / sum(duration) exactly.
         M.ratio_round(F.sum(M.as_money(total)), F.sum(dur)).alias("avg_fare_per_hour"),
+        *([M.approx_median_of("total_fare_bdt").alias("_median")] if rules.approx_median else M.median_bracket("total_fare_bdt")),
     )
-    med = _median(fact, "airline_key", rules)
-    m = agg.join(med, "airline_key", "left").join(dim_airline, "airline_key")
+    m, rows, bookings = _sized(agg.join(dim_airline, "airline_key"), "kpi-fare")
+    if not rules.approx_median:
+        med = M.median_within(fact, m, ["airline_key"], "total_fare_bdt", "_median").withColumnRenamed("airline_key", "_of")
+        m = m.join(med, F.col("airline_key").eqNullSafe(F.col("_of")), "left")
+    m = with_ranks(m, rows, {"fare_rank_desc": "avg_total_fare_bdt", "popularity_rank": "total_bookings"})
     out = m.select(
         F.col("airline_name").alias("airline"),
         "total_bookings",
@@ -89,9 +89,8 @@ def kpi_avg_fare(fact: DataFrame, dim_airline: DataFrame,
         M.dbl("avg_tax_percentage").alias("avg_tax_percentage"),
         M.dbl("avg_duration_hours").alias("avg_duration_hours"),
         M.dbl("avg_fare_per_hour").alias("avg_fare_per_hour"),
-        M.dbl(_share("total_bookings")).alias("market_share_pct"),
-        _rank_desc("avg_total_fare_bdt").alias("fare_rank_desc"),
-        _rank_desc("total_bookings").alias("popularity_rank"),
+        M.dbl(M.pct("total_bookings", bookings, 2)).alias("market_share_pct"),
+        "fare_rank_desc", "popularity_rank",
     )
     return out.orderBy(F.col("total_bookings").desc(), "airline")
 
@@ -99,8 +98,8 @@ def kpi_avg_fare(fact: DataFrame, dim_airline: DataFrame,
 def median_fare(fact: DataFrame, dim_airline: DataFrame,
                 rules: S.Rules = S.Rules()) -> DataFrame:
     """Exact (or approximate) median total fare per airline."""
-    med = _median(fact, "airline_key", rules)
-    return med.join(dim_airline, "airline_key").select(
+    fn = M.approx_median if rules.approx_median else M.exact_median
+    return fn(fact, ["airline_key"], "total_fare_bdt", "_median").join(dim_airline, "airline_key").select(
         F.col("airline_name").alias("airline"),
         M.dbl(F.round("_median", 2)).alias("median_fare_bdt"))
 
@@ -120,13 +119,13 @@ def kpi_booking_count(fact: DataFrame, dim_airline: DataFrame,
         M.sum_round("total_fare_bdt").alias("total_revenue_bdt"),
         M.avg_round("total_fare_bdt").alias("avg_fare_bdt"),
     )
-    m = agg.join(dim_airline, "airline_key")
+    m, rows, bookings = _sized(agg.join(dim_airline, "airline_key"), "kpi-bookings")
+    m = with_ranks(m, rows, {"booking_rank": "total_bookings", "revenue_rank": "total_revenue_bdt"})
     n = F.col("total_bookings")
     out = m.select(
         F.col("airline_name").alias("airline"),
-        "total_bookings",
-        _rank_desc("total_bookings").alias("booking_rank"),
-        M.dbl(_share("total_bookings")).alias("market_share_pct"),
+        "total_bookings", "booking_rank",
+        M.dbl(M.pct("total_bookings", bookings, 2)).alias("market_share_pct"),
         "economy_bookings", "business_bookings", "first_class_bookings",
         M.dbl(M.pct("economy_bookings", n, 1)).alias("economy_pct"),
         M.dbl(M.pct("business_bookings", n, 1)).alias("business_pct"),
@@ -136,7 +135,7 @@ def kpi_booking_count(fact: DataFrame, dim_airline: DataFrame,
         M.dbl(M.pct("peak_season_bookings", n, 1)).alias("peak_season_pct"),
         M.dbl("total_revenue_bdt").alias("total_revenue_bdt"),
         M.dbl("avg_fare_bdt").alias("avg_fare_bdt"),
-        _rank_desc("total_revenue_bdt").alias("revenue_rank"),
+        "revenue_rank",
     )
     return out.orderBy(F.col("total_bookings").desc(), "airline")
 
@@ -166,12 +165,12 @@ def route_metrics(fact: DataFrame, dim_route: DataFrame,
         M.sum_round("total_fare_bdt").alias("total_revenue_bdt"),
         M.avg_round("days_before_departure", 1).alias("avg_days_before_departure"),
     )
-    m = agg.join(dim_route, "route_key")
+    m, rows, bookings = _sized(agg.join(dim_route, "route_key"), "kpi-routes")
+    m = with_ranks(m, rows, {"route_rank": "total_bookings", "revenue_rank": "total_revenue_bdt"})
     return m.select(
         *ROUTE_COLUMNS,
-        "total_bookings",
-        _rank_desc("total_bookings").alias("route_rank"),
-        M.dbl(_share("total_bookings")).alias("market_share_pct"),
+        "total_bookings", "route_rank",
+        M.dbl(M.pct("total_bookings", bookings, 2)).alias("market_share_pct"),
         M.dbl("avg_fare_bdt").alias("avg_fare_bdt"),
         M.dbl("min_fare_bdt").alias("min_fare_bdt"),
         M.dbl("max_fare_bdt").alias("max_fare_bdt"),
@@ -183,7 +182,7 @@ def route_metrics(fact: DataFrame, dim_route: DataFrame,
         M.dbl(M.pct("direct_flights", F.col("total_bookings"), 1)).alias("direct_flight_pct"),
         "economy_bookings", "business_bookings", "first_class_bookings",
         M.dbl("total_revenue_bdt").alias("total_revenue_bdt"),
-        _rank_desc("total_revenue_bdt").alias("revenue_rank"),
+        "revenue_rank",
         M.dbl("avg_days_before_departure").alias("avg_days_before_departure"),
         # The source system divides the two *rounded* averages.
         M.dbl(M.ratio_round("avg_fare_bdt", "avg_duration_hours", 2, num_t=D2, den_t=D2))

@@ -56,9 +56,9 @@ def load(df: DataFrame, lake, table: str, mode: str = S.FULL,
     whose hash the table already holds are skipped and the rest appended;
     nothing is ever updated or removed (insert-only). ``batch_rows`` is the
     batch size when the caller already knows it; otherwise it is counted,
-    which for a Parquet source reads footers only. Target counts before and
-    after the load (A15, rows loaded) read Parquet footers only. Loads into
-    one table are expected to run one at a time.
+    which for a Parquet source reads footers only. The rows loaded (A15) are
+    observed by the write itself. Loads into one table are expected to run one
+    at a time.
 
     ``number(rows, start, all_rows)`` gives the rows their ids, after known
     rows are taken out. ``partition_by`` lays the table out by those columns,
@@ -73,12 +73,11 @@ def load(df: DataFrame, lake, table: str, mode: str = S.FULL,
         if "row_hash" not in df.columns:
             raise ValueError("an incremental load needs a row_hash column")
         target = lake.read(table)
-        before = target.count()
+        before = target.count()   # Parquet footers
         out = new_rows(df, target, prune_by=partition_by[0] if partition_by else None)
-        lake.write(number(out, max_id(lake, table), False), table, mode="append", stamps=stamps,
-                   partition_by=partition_by, gather=gather)
-        in_target = lake.read(table).count()
-        loaded = in_target - before
+        loaded = lake.write_counted(number(out, max_id(lake, table), False), table, mode="append", stamps=stamps,
+                                    partition_by=partition_by, gather=gather)
+        in_target = before + loaded
         if loaded == 0:
             log.info("Every row of the batch is known; the table stays as it is")
     else:

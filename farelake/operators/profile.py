@@ -6,7 +6,7 @@ Everything stays distributed: one aggregation per metric family, then an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.functions import money as M
@@ -26,23 +26,35 @@ FROM_SUMMARY = ("shape", "nulls", "null_columns", "stats", "issues", "issue_list
 STAT_COLUMNS = (("base_fare", BASE), ("total_fare", TOTAL), ("duration", DURATION))
 
 
-def summary(df: DataFrame, max_duration: float = Rules().max_duration) -> DataFrame:
-    """One row with every global aggregate of the profile: one scan for N1, N2, N5 and N7."""
-    dur = q(DURATION)
+def summary_aggregates(columns, value=q, max_duration: float = Rules().max_duration) -> list[F.Column]:
+    """Every global aggregate of the profile (N1, N2, N5, N7); ``value`` gives a column's typed value."""
     stat = []
     for name, c in STAT_COLUMNS:
-        if c in df.columns:
-            stat += [M.dbl(M.round_money(F.min(q(c)))).alias(f"{name}_min"),
-                     M.dbl(M.round_money(F.max(q(c)))).alias(f"{name}_max"),
-                     M.dbl(M.avg_round(q(c))).alias(f"{name}_mean")]
+        if c in columns:
+            stat += [M.dbl(M.round_money(F.min(value(c)))).alias(f"{name}_min"),
+                     M.dbl(M.round_money(F.max(value(c)))).alias(f"{name}_max"),
+                     M.dbl(M.avg_round(value(c))).alias(f"{name}_mean")]
     issue = [
-        F.count_if(q(BASE) < 0).alias("negative_base_fares"),
-        F.count_if(q(TOTAL) <= 0).alias("non_positive_total_fares"),
-        F.count_if((dur < 0) | (dur > max_duration)).alias("invalid_durations"),
-    ] if all(c in df.columns for c in (BASE, TOTAL, DURATION)) else []
-    return df.agg(F.count(F.lit(1)).alias("total_rows"),
-                  *[F.count_if(q(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)],
-                  *stat, *issue)
+        F.count_if(value(BASE) < 0).alias("negative_base_fares"),
+        F.count_if(value(TOTAL) <= 0).alias("non_positive_total_fares"),
+        F.count_if((value(DURATION) < 0) | (value(DURATION) > max_duration)).alias("invalid_durations"),
+    ] if all(c in columns for c in (BASE, TOTAL, DURATION)) else []
+    return [F.count(F.lit(1)).alias("total_rows"),
+            *[F.count_if(value(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(columns)],
+            *stat, *issue]
+
+
+def summary(df: DataFrame, max_duration: float = Rules().max_duration) -> DataFrame:
+    """One row with every global aggregate of the profile, in one scan."""
+    return df.agg(*summary_aggregates(df.columns, max_duration=max_duration))
+
+
+def observed_summary(spark: SparkSession, found: dict) -> DataFrame:
+    """The row of :func:`summary` from metrics that a write has observed."""
+    names = [n for n in found if n == "total_rows" or n.startswith("_null_") or n in ISSUES
+             or n.rpartition("_")[0] in dict(STAT_COLUMNS)]
+    kinds = ["double" if n.rpartition("_")[2] in ("min", "max", "mean") else "long" for n in names]
+    return spark.createDataFrame([tuple(found[n] for n in names)], ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
 def shape(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:
@@ -70,13 +82,14 @@ def value_counts(df: DataFrame, columns=VALUE_COUNT_COLUMNS) -> DataFrame:
     """Value counts per column, nulls excluded, percent over all rows.
 
     Each row is stacked into (column, value) pairs so that all columns are
-    counted by one shuffle; totals come from a window over the small result.
+    counted by one shuffle. The totals, one row a column, come from the same
+    counts and are joined in, so a column of many values stays spread out.
     """
     pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in columns)
     stacked = df.selectExpr(f"stack({len(columns)}, {pairs}) as (column_name, value)")
     counts = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("value_count"))
-    total = F.sum("value_count").over(Window.partitionBy("column_name"))
-    return (counts.withColumn("_n", total).where(F.col("value").isNotNull())
+    totals = counts.groupBy("column_name").agg(F.sum("value_count").alias("_n"))
+    return (counts.where(F.col("value").isNotNull()).join(F.broadcast(totals), "column_name")
                   .select("column_name", "value", "value_count",
                           M.dbl(M.pct(F.col("value_count"), F.col("_n"), 1)).alias("pct")))
 
@@ -98,13 +111,16 @@ def distincts(df: DataFrame) -> DataFrame:
 
 
 def top_values(df: DataFrame, column: str = AIRLINE, k: int = 5) -> DataFrame:
-    """Most frequent values with percent of all rows (N4, J6); ties by value."""
-    counts = (df.groupBy(q(column).alias("value")).agg(F.count(F.lit(1)).alias("value_count"))
-                .withColumn("_n", F.sum("value_count").over(Window.partitionBy())))
+    """Most frequent values with percent of all rows (N4, J6); ties by value.
+
+    A distributed top-k; the total of all rows is a one-row subquery over the
+    same counts.
+    """
+    counts = df.groupBy(q(column).alias("value")).agg(F.count(F.lit(1)).alias("value_count"))
+    total = counts.agg(F.sum("value_count")).scalar()
     return (counts.where(F.col("value").isNotNull())
                   .orderBy(F.col("value_count").desc(), F.col("value").asc()).limit(k)
-                  .select("value", "value_count",
-                          M.dbl(M.pct(F.col("value_count"), F.col("_n"), 1)).alias("pct")))
+                  .select("value", "value_count", M.dbl(M.pct(F.col("value_count"), total, 1)).alias("pct")))
 
 
 def stats(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:

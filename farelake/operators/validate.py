@@ -37,31 +37,37 @@ def _text(column: str):
     return F.col(f"`{column}`").cast("string")
 
 
-def value_problems(df: DataFrame) -> DataFrame:
-    """One row: ``rows``, and per numeric column the values that are no number and those that do not fit."""
+def problem_aggregates(columns) -> list[F.Column]:
+    """``rows``, and per numeric column the values that are no number and those that do not fit."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in S.NUMERIC_KINDS:
-        if c not in df.columns:
+        if c not in columns:
             continue
         number = _text(c).try_cast("double")
         aggs.append(F.count_if(_text(c).isNotNull() & number.isNull()).alias(f"text: {c}"))
         if c in S.MONEY_SOURCE:
             aggs.append(F.count_if(number.isNotNull() & _text(c).try_cast(S.MONEY).isNull()).alias(f"range: {c}"))
-    if MALFORMED in df.columns:
+    if MALFORMED in columns:
         aggs += [F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
                  F.min(F.substring(MALFORMED, 1, 200)).alias("malformed_line")]
-    return df.agg(*aggs)
+    return aggs
+
+
+def value_problems(df: DataFrame) -> DataFrame:
+    """One row of :func:`problem_aggregates`."""
+    return df.agg(*problem_aggregates(df.columns))
 
 
-def check_frame(df: DataFrame) -> ValidationResult:
+def check_frame(df: DataFrame, found: dict | None = None) -> ValidationResult:
     """Required columns (B1), extra columns (B2), values (B3), verdict (B4), in one aggregation.
 
     A frame without data rows, with a row of too many fields, with text in a
     numeric column or with money that the declared type cannot hold fails.
+    ``found`` are the aggregates when a write of the frame has observed them.
     """
     missing = missing_columns(df)
     errors = [f"Missing columns: {missing}"] if missing else []
-    found = value_problems(df).first().asDict()
+    found = value_problems(df).first().asDict() if found is None else found
     if found["rows"] == 0:
         errors.append(HEADER_ONLY)
     if found.get("malformed"):
@@ -87,17 +93,17 @@ def check_structure(spark: SparkSession, path: str, multiline: bool = False) ->
     return check_frame(df)
 
 
+def typed_value(src: str) -> F.Column:
+    """A source column's text as its declared type (money exact, ints via rounding)."""
+    c, eng = F.col(f"`{src}`"), S.RENAME[src]
+    if eng == "days_before_departure":
+        return F.round(c.cast("string").try_cast("decimal(18,6)")).try_cast("int")
+    if eng in S.MONEY_COLUMNS:
+        return c.cast("string").try_cast(S.MONEY)
+    return c.try_cast(S.ENGINE_TYPES[eng])
+
+
 def typed(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Source-named text columns -> declared types (money exact, ints via rounding); a position and ``keep`` stay."""
+    """Source-named text columns -> declared types; a position and ``keep`` stay."""
     out = [F.col(c) for c in (POSITION, *keep) if c in df.columns]
-    for src, eng in S.RENAME.items():
-        c = F.col(f"`{src}`")
-        t = S.ENGINE_TYPES[eng]
-        if eng == "days_before_departure":
-            v = F.round(c.cast("string").try_cast("decimal(18,6)")).try_cast("int")
-        elif eng in S.MONEY_COLUMNS:
-            v = c.cast("string").try_cast(S.MONEY)
-        else:
-            v = c.try_cast(t)
-        out.append(v.alias(src))
-    return df.select(*out)
+    return df.select(*out, *[typed_value(src).alias(src) for src in S.RENAME])

@@ -13,7 +13,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farelake import schema as S
@@ -24,6 +24,7 @@ from farelake.functions import dates as D
 from farelake.operators.ids import assign_ids, with_positions
 from farelake.sources.csv import MALFORMED, SourceError, preflight, read_text_csv
 from farelake.sources.lake import Lake
+from farelake.sources.working import working, working_tables
 
 log = logging.getLogger(__name__)
 
@@ -47,12 +48,16 @@ PROFILES = ("shape", "nulls", "null_columns", "value_counts", "distincts", "top_
             "issues", "issue_list")
 
 
-def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_") -> None:
+def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_", one_row: DataFrame | None = None) -> None:
     """Profile a source-shaped frame (N1-N7) into ``profile_*`` tables.
 
-    The families that need one row of aggregates share one scan.
+    The families that need one row of aggregates share one scan, or none where
+    that row is given.
     """
-    one_row = lake.hold(profile.summary(df), "profile")
+    if one_row is None:
+        found = Observation()
+        df.observe(found, *profile.summary_aggregates(df.columns)).write.format("noop").mode("overwrite").save()
+        one_row = profile.observed_summary(lake.spark, found.get)
 
     def write(name: str) -> None:
         family = getattr(profile, name)
@@ -63,6 +68,21 @@ def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_") -> None:
         list(pool.map(write, PROFILES[1:]))
 
 
+def arrived(text: DataFrame) -> tuple[DataFrame, dict]:
+    """The batch as a working table of typed rows with hash, month and position, and what its one pass observed.
+
+    The write of that table observes everything that validation, the profile
+    and the load ask of all rows: the row count, text in numeric columns,
+    malformed lines, nulls, ranges, means and issue counters.
+    """
+    found = Observation()
+    positioned = with_positions(text.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS], MALFORMED))
+    observed = positioned.observe(
+        found, *validate.problem_aggregates(positioned.columns), *profile.summary_aggregates(S.SOURCE_COLUMNS, validate.typed_value))
+    rows = working(hashed_rows(observed), "batch")
+    return rows, found.get
+
+
 def hashed_rows(text: DataFrame) -> DataFrame:
     """Typed source columns plus the content hash of their text and the layout month."""
     for c in S.INT_SOURCE:  # 5 and 5.0 are the same day count
@@ -77,11 +97,18 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
            with_profile: bool = True, multiline: bool = False) -> L.LoadResult:
     """Validate the CSV, hash every row, load it into staging, log the outcome.
 
-    The CSV is parsed once, into a working Parquet table of text columns with
-    each row's scan position. Validation, the profile (on unless switched
-    off), ids and the load all read that table, so they see the same rows
-    however the source is split. ``multiline`` reads quoted line breaks.
+    The CSV is parsed in one pass (:func:`arrived`), which writes the typed and
+    hashed rows with their scan positions to a working table and observes every
+    aggregate that validation and the profile need. Ids, the other profile
+    families and the load read that table, so they see the same rows however
+    the source is split. It is deleted at the end. ``multiline`` reads quoted
+    line breaks.
     """
+    with working_tables(spark):
+        return _ingest(spark, csv_path, lake, mode, with_profile, multiline)
+
+
+def _ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str, with_profile: bool, multiline: bool) -> L.LoadResult:
     started = _now()
     name = csv_path.rstrip("/").rsplit("/", 1)[-1]
     mode = L.resolve_mode(mode)
@@ -105,18 +132,18 @@ def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
         missing = validate.missing_columns(source)
         if missing:
             return failed([f"Missing columns: {missing}"])
-        text = lake.hold(with_positions(source.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS], MALFORMED)), "csv")
-        res = validate.check_frame(text)
+        rows, found = arrived(source)
+        res = validate.check_frame(rows.drop("row_hash", S.LAYOUT_COLUMN), found=found)
     except SourceError as e:
         return failed([str(e)])
     except Exception as e:
         return failed([f"CSV parsing error: {e}"])
     if not res.ok:
         return failed(res.errors)
-    rows = hashed_rows(res.df)
     try:
         if with_profile:
-            write_profile(lake, rows.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]))
+            write_profile(lake, rows.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS]),
+                          one_row=profile.observed_summary(spark, found))
             copies = B.duplicate_hash_metric(rows).first()["duplicate_rows"]
             if copies:
                 log.warning("%s of %s rows repeat the content of another row; all are loaded", copies, res.rows)
@@ -233,13 +260,14 @@ def run_report(lake: Lake) -> Report:
 
 # ------------------------------------------------------------------ R5 whole run
 def run_pipeline(spark: SparkSession, csv_path: str, lake_root: str, mode: str = S.FULL,
-                 rules: S.Rules = S.Rules(), with_profile: bool = True) -> Report:
+                 rules: S.Rules = S.Rules(), with_profile: bool = True, multiline: bool = False) -> Report:
     """The five steps in order; the first failure stops the run."""
     lake = Lake(spark, lake_root)
-    if not ingest(spark, csv_path, lake, mode, with_profile).ok:
+    if not ingest(spark, csv_path, lake, mode, with_profile, multiline).ok:
         raise PipelineError("The CSV was not loaded; ingestion_log has the reason.")
-    if not promote(spark, lake, mode).ok:
-        raise PipelineError("Staging was not promoted to bronze; transfer_log has the reason.")
-    build_silver(lake, rules)
-    build_gold(lake, rules)
+    with working_tables(spark):
+        if not promote(spark, lake, mode).ok:
+            raise PipelineError("Staging was not promoted to bronze; transfer_log has the reason.")
+        build_silver(lake, rules)
+        build_gold(lake, rules)
     return run_report(lake)

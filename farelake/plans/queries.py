@@ -8,7 +8,6 @@ leaves as ``double``, counts as ``bigint`` and ranks as ``int``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,10 @@ from farelake.operators import bronze as B
 from farelake.operators import changes, dims, kpi, profile, quality, report, silver, validate
 from farelake.operators.fact import fact_bookings
 from farelake.operators.ids import assign_ids, with_positions
-from farelake.session import shared_dir
+from farelake.plans import runs
 from farelake.sources.fixture import fixture_bronze
 from farelake.sources.tables import table
+from farelake.sources.working import working
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -263,7 +263,7 @@ def duplicate_hash_metric(spark, sf):
 
 
 def _incremental(spark, sf):
-    batch = _hashed(spark, sf)
+    batch = working(_hashed(spark, sf), "batch")
     target = batch.where(F.col("id") % 3 != 0)
     return batch, target
 
@@ -292,17 +292,15 @@ def incremental_pruned(spark, sf):
     other = fixture_bronze(spark, sf).where(F.col("id") % 3 != 0).withColumn(
         "seasonality", F.when(F.col("id") % 5 == 0, F.lit("Charter")).otherwise(F.col("seasonality")))
     target = B.with_row_hash(other).withColumn(S.LAYOUT_COLUMN, month)
-    batch = _hashed(spark, sf).withColumn(S.LAYOUT_COLUMN, month)
+    batch = working(_hashed(spark, sf).withColumn(S.LAYOUT_COLUMN, month), "batch")
     return changes.new_rows(batch, target, prune_by=S.LAYOUT_COLUMN).select("id", "row_hash")
 
 
 @query
 def row_ids(spark, sf):
     """Ids over the whole line table: dense, from 1, none twice."""
-    lines = with_positions(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
-    path = f"{shared_dir(spark)}/row-ids-{uuid.uuid4().hex}"
-    lines.write.parquet(path)
-    return assign_ids(spark.read.schema(lines.schema).parquet(path)).agg(
+    lines = working(with_positions(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")), "row-ids")
+    return assign_ids(lines).agg(
         F.count(F.lit(1)).alias("rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
         F.count_distinct("id").alias("distinct_ids"))
 
@@ -465,5 +463,6 @@ def run_report(spark, sf):
         report.seasonal(kpi.kpi_seasonal(L.fact)))
 
 
-# The fact query is registered under its model name.
+# Whole runs have their own module; the fact query is registered under its model name.
+QUERIES |= runs.QUERIES
 QUERIES["fact_bookings"] = QUERIES.pop("fact_bookings_q")

@@ -18,13 +18,12 @@ import threading
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 COMMITS = "_commits"
-INCOMING = "_incoming"
 
 
 class RowCountError(Exception):
@@ -95,7 +94,14 @@ class Lake:
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",
               stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
               gather: bool = True, expected_rows: int | None = None) -> str:
-        """Write ``df`` as a new version (overwrite) or into the current one (append).
+        """:meth:`write_counted`, for the path of the version written."""
+        self.write_counted(df, table, mode, stamps, partition_by, gather, expected_rows)
+        return self.current(table)
+
+    def write_counted(self, df: DataFrame, table: str, mode: str = "overwrite",
+                      stamps: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
+                      gather: bool = True, expected_rows: int | None = None) -> int:
+        """Write ``df`` as a new version (overwrite) or into the current one (append); the rows written.
 
         ``partition_by`` lays the files out by those columns (Hive-style);
         ``gather`` first shuffles each value's rows together. A new version
@@ -111,33 +117,29 @@ class Lake:
             # partition directories; AQE sizes the partitions and splits a
             # skewed (hot) value instead of giving it to one task.
             df = df.hint("rebalance", *partition_by)
+        # the writing stage counts its rows: each of its tasks once, however often it is tried
+        counted = Observation()
+        fields = df.schema.fields
+        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
         current = self.current(table) if mode == "append" else None
         if current is not None:
             w = df.write.mode("append")
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.parquet(current)
-            return current
+            return counted.get.get("rows", 0)   # an empty plan observes nothing
         version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{table}/{version}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        kept = [f for f in df.schema.fields if f.name not in partition_by]
-        schema = T.StructType(kept + [f for f in df.schema.fields if f.name in partition_by])
-        if expected_rows is not None:
-            rows = self.spark.read.schema(schema).parquet(path).count()
-            if rows != expected_rows:
-                raise RowCountError(f"Row count mismatch: source={expected_rows}, target={rows}")
+        schema = T.StructType([f for f in fields if f.name not in partition_by] + [f for f in fields if f.name in partition_by])
+        rows = counted.get.get("rows", 0)
+        if expected_rows is not None and rows != expected_rows:
+            raise RowCountError(f"{table}: {rows} of the batch's {expected_rows} rows were written; the version is not committed")
         self._commit(table, version, schema.json())
-        return path
-
-    def hold(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` as a working table under the root, replaced by the next load; not a layer table."""
-        path = f"{self.root}/{INCOMING}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return rows
 
     def append_row(self, table: str, row: dict, schema: str) -> None:
         """Append one log row."""

@@ -154,8 +154,8 @@ def test_every_row_is_kept_when_splits_differ_between_passes(spark, scratch, mon
         spark.conf.set(k, v)
     check = validate.check_frame
 
-    def check_then_change(df):
-        out = check(df)
+    def check_then_change(df, **observed):
+        out = check(df, **observed)
         spark.conf.set("spark.sql.leafNodeDefaultParallelism", "32")
         return out
     monkeypatch.setattr(validate, "check_frame", check_then_change)

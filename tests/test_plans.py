@@ -48,16 +48,21 @@ def test_incremental_target_scan_is_pruned(spark, scratch):
     assert q.count() == 0
 
 
-def test_median_scans_the_fact_once(spark, scratch):
+def test_median_shuffles_its_bracket_only(spark, scratch):
+    """One scan for the sketch, one to select: of a million values, some thousands are shuffled by value."""
     from pyspark.sql import functions as F
-    from farelake.functions.money import exact_median
-    spark.range(1000).select((F.col("id") % 3).cast("string").alias("k"),
-                             F.col("id").cast("decimal(18,6)").alias("v")).write.parquet(scratch + "/f")
-    q = exact_median(spark.read.parquet(scratch + "/f"), ["k"], "v")
-    q.collect()
+    from farelake.functions import money as M
+    spark.range(1_000_000).select((F.col("id") % 3).cast("string").alias("k"),
+                                  F.col("id").cast("decimal(18,6)").alias("v")).write.parquet(scratch + "/f")
+    fact = spark.read.parquet(scratch + "/f")
+    q = M.exact_median(fact, ["k"], "v")
+    assert {r.k: int(r.median * 2) for r in q.collect()} == {"0": 999_999, "1": 999_998, "2": 1_000_000}
     final = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("Scan parquet") - final.count("ReusedExchange") <= 2
-    assert "ReusedExchange" in final
+    assert final.count("Scan parquet") == 2 and "BroadcastHashJoin" in final
+    # the join with the brackets comes before any shuffle of the rows
+    assert final.rindex("BroadcastHashJoin") > final.rindex("Exchange hashpartitioning")
+    brackets = fact.groupBy("k").agg(*M.median_bracket("v")).collect()
+    assert all(r._median_ends[1] - r._median_ends[0] < 10_000 for r in brackets)
 
 
 def test_promote_moves_no_rows(spark, scratch):
