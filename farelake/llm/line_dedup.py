@@ -7,18 +7,23 @@
    runs, whatever documents held its lines first. A run in any number of
    documents gives each of them one partner, so pairs grow with the lines, and
    no line needs leaving out.
-2. Patience diff aligns the two documents' line hashes: lines that are unique
-   in both and in the same order are anchors, and the ranges between anchors
-   are aligned likewise.
+2. Patience diff aligns the two documents: lines that are unique in both and in
+   the same order are anchors, and the ranges between anchors are aligned
+   likewise. A range without such lines is anchored on its runs, occurrence by
+   occurrence.
 3. Aligned blocks of at least ``MIN_WORDS`` words are deleted from the later
    document.
 4. An alignment rises in both documents and takes a line once. Blocks in
-   another order, or more often in the later document, are found by the runs
-   of 1: those of the later document that the earlier one holds are deleted.
+   another order, or more often in the later document, are left to the next:
+   the lines of runs that still hold lines to delete are aligned with the whole
+   earlier document again, until none is left. Documents that more than
+   ``ROUNDS`` alignments do not finish (thousands of lines made of a few) have
+   their last runs aligned one by one.
 
 So exactly those lines leave a document that belong to consecutive lines of
 ``MIN_WORDS`` words or more that some earlier document holds as consecutive
-lines too. Both are taken as they came, before any deletion.
+lines too. Both are taken as they came, before any deletion. A pair takes time
+in proportion to its lines, times a logarithm.
 
 Lines are compared without white space at their ends, and runs of lines by
 64-bit hashes of their lines' hashes.
@@ -27,9 +32,8 @@ Lines are compared without white space at their ends, and runs of lines by
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -41,17 +45,16 @@ from .common import text_or_empty, written
 #: Words that a deleted block has at least. Lines under ``LINE_WORDS`` words repeat by chance; in a run they count like others.
 MIN_WORDS = 20
 LINE_WORDS = 3
+#: Alignments of one pair, and nested ranges of one alignment.
+ROUNDS, DEPTH = 8, 32
 #: Base of the runs' hashes (odd, so that it has an inverse), and lines that are hashed at once.
 BASE = 0x9E3779B97F4A7C13
 BLOCK = 200_000
 
 
-def _anchors(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Positions of lines unique in both, the longest run of them that rises in both."""
-    in_a, in_b = Counter(a), Counter(b)
-    at = {x: i for i, x in enumerate(a) if in_a[x] == 1 and in_b.get(x) == 1}
-    pairs = [(at[x], j) for j, x in enumerate(b) if x in at]
-    tails: list[int] = []  # smallest end of a rising run by length
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of pairs with rising second numbers whose first numbers rise too."""
+    tails: list[int] = []  # smallest end of a rising part by length
     ends: list[int] = []
     back: list[int] = []
     for k, (i, _) in enumerate(pairs):
@@ -69,35 +72,57 @@ def _anchors(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Aligned positions (i, j) with a[i] == b[j], rising in both."""
-    out, ranges = [], [(0, len(a), 0, len(b))]
+def _unique_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    in_a, in_b = Counter(a), Counter(b)
+    at = {x: i for i, x in enumerate(a) if in_a[x] == 1 and in_b.get(x) == 1}
+    return _rising([(at[x], j) for j, x in enumerate(b) if x in at])
+
+
+def _runs_in_turn(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Runs (by the line where they start, -1: none) that both hold: the first occurrence with the first, and so on."""
+    places: dict[int, list[int]] = defaultdict(list)
+    for i, x in enumerate(a):
+        if x != -1:
+            places[x].append(i)
+    used: Counter = Counter()
+    pairs = []
+    for j, x in enumerate(b):
+        if x != -1 and used[x] < len(places.get(x, ())):
+            pairs.append((places[x][used[x]], j))
+            used[x] += 1
+    return _rising(pairs)
+
+
+def aligned(a: list[int], b: list[int], runs_a: list | None = None, runs_b: list | None = None) -> list[tuple[int, int]]:
+    """Aligned positions (i, j) with a[i] == b[j], rising in both; the runs are those that start at each line (or two lines)."""
+    if runs_a is None:
+        runs_a, runs_b = ([*zip(x, x[1:]), -1] for x in (a, b))
+    out, ranges = [], [(0, len(a), 0, len(b), 0)]
     while ranges:
-        a0, a1, b0, b1 = ranges.pop()
+        a0, a1, b0, b1, depth = ranges.pop()
         while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
             out.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
         while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             out.append((a1, b1))
-        if a0 == a1 or b0 == b1:
+        if a0 == a1 or b0 == b1 or depth > DEPTH:
             continue
-        anchors = _anchors(a[a0:a1], b[b0:b1])
+        anchors, deeper = _unique_lines(a[a0:a1], b[b0:b1]), depth + 1
+        if not anchors:
+            anchors, deeper = _runs_in_turn(runs_a[a0:a1], runs_b[b0:b1]), DEPTH + 1
         if anchors:
             last = (a0, b0)
             for i, j in [*((a0 + i, b0 + j) for i, j in anchors), (a1, b1)]:
-                ranges.append((last[0], i, last[1], j))
+                ranges.append((last[0], i, last[1], j, deeper))
                 last = (i, j)
-        elif not set(a[a0:a1]).isdisjoint(b[b0:b1]):  # only repeated lines are left: longest runs first
-            for i, j, n in SequenceMatcher(None, a[a0:a1], b[b0:b1], autojunk=False).get_matching_blocks():
-                out += [(a0 + i + k, b0 + j + k) for k in range(n)]
     return sorted(out)
 
 
-def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
+def common_blocks(a: list[int], b: list[int], words: list[int], least: int, runs_a: list | None = None, runs_b: list | None = None) -> list[int]:
     """Positions in ``b`` of the aligned blocks with at least ``least`` of b's words."""
     out, block = [], []
-    for i, j in [*aligned(a, b), (-2, -2)]:
+    for i, j in [*aligned(a, b, runs_a, runs_b), (-2, -2)]:
         if block and (i, j) != (block[-1][0] + 1, block[-1][1] + 1):
             if sum(words[y] for _, y in block) >= least:
                 out += [y for _, y in block]
@@ -131,19 +156,47 @@ def runs(hashes: np.ndarray, words: np.ndarray, offsets: np.ndarray, least: int)
     return owner[start], run, start - offsets[owner[start]], end - offsets[owner[start]]
 
 
-def repeated(a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
-    """Positions in ``b`` of all blocks with at least ``least`` of b's words that ``a`` holds, at any place and however often."""
-    gone = set(common_blocks(a, b, words, least))
-    if set(a).isdisjoint(x for j, x in enumerate(b) if j not in gone):
-        return sorted(gone)
+def _covered(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` lines lie in some run."""
+    covers = np.zeros(n + 1, np.int64)
+    np.add.at(covers, start, 1)
+    np.add.at(covers, end + 1, -1)
+    return np.cumsum(covers)[:-1] > 0
+
+
+def repeated(a: list[int], b: list[int], words: list[int], least: int, rounds: int = ROUNDS) -> list[int]:
+    """Positions in ``b`` of the blocks with at least ``least`` of b's words that ``a`` holds, by alignment after alignment."""
+    if set(a).isdisjoint(b):
+        return []
+    number = {x: k for k, x in enumerate(dict.fromkeys(b))}
     known = dict(zip(b, words))
     # a line that b lacks makes no common run, whatever its words
     owner, run, start, end = runs(np.array(a + b, np.int64), np.array([*(known.get(x, least) for x in a), *words]), np.array([0, len(a), len(a) + len(b)]), least)
-    found = (owner == 1) & np.isin(run, run[owner == 0])
-    covers = np.zeros(len(b) + 1, np.int64)
-    np.add.at(covers, start[found], 1)
-    np.add.at(covers, end[found] + 1, -1)
-    return sorted(gone.union(np.flatnonzero(np.cumsum(covers)).tolist()))
+    _, run = np.unique(run, return_inverse=True)
+    mine = (owner == 1) & np.isin(run, run[owner == 0])
+    at_a, at_b = np.full(len(a), -1), np.full(len(b), -1)
+    shared = (owner == 0) & np.isin(run, run[owner == 1])
+    at_a[start[shared]], at_b[start[mine]] = run[shared], run[mine]
+    start, end = start[mine], end[mine]
+    lines_a, lines_b = [number.get(x, -1) for x in a], np.array([number[x] for x in b])
+    gone = np.zeros(len(b), bool)
+    for _ in range(rounds):
+        left = np.concatenate([[0], np.cumsum(~gone)])
+        ahead = left[end + 1] > left[start]
+        start, end = start[ahead], end[ahead]
+        if not len(start):
+            break
+        # lines outside the runs that are left match nothing
+        view = np.where(_covered(start, end, len(b)), lines_b, len(number) + np.arange(len(b)))
+        found = common_blocks(lines_a, view.tolist(), words, least, at_a.tolist(), at_b.tolist())
+        if gone[found].all():
+            break
+        gone[found] = True
+    left = np.concatenate([[0], np.cumsum(~gone)])
+    ahead = left[end + 1] > left[start]
+    if rounds == ROUNDS:
+        gone |= _covered(start[ahead], end[ahead], len(b))
+    return np.flatnonzero(gone).tolist()
 
 
 def line_runs(rows: DataFrame, least: int) -> DataFrame:
@@ -190,9 +243,9 @@ def line_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     kind = rows.schema["doc"].dataType.simpleString()
     found = both.mapInArrow(run, f"doc {kind}, deleted array<int>")
-    # one list per partner; a document's partners are at most its lines
-    return found.where(F.size("deleted") > 0).groupBy("doc").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("deleted")))).alias("deleted")
+    # partners may name the same line, so a document's list is no longer than its lines
+    return found.select("doc", F.explode("deleted").alias("line")).distinct().groupBy("doc").agg(
+        F.array_sort(F.collect_list("line")).alias("deleted")
     ).select(F.col("doc.id").alias(id_column), F.col("doc.hash").alias("_hash"), "deleted")
 
 

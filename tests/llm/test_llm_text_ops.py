@@ -190,33 +190,75 @@ def test_line_dedup_takes_blocks_out_of_later_documents(spark, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def _shared_blocks(a, b, words, least):
+    """Positions in b of consecutive lines with so many words that a holds as consecutive lines: every block looked up."""
+    spans = [(x, y) for x in range(len(b)) for y in range(x + 1, len(b) + 1) if sum(words[x:y]) >= least]
+    held = {tuple(a[x:y]) for x in range(len(a)) for y in range(x + 1, len(a) + 1)}
+    return sorted({j for x, y in spans if tuple(b[x:y]) in held for j in range(x, y)})
+
+
 def test_line_dedup_matches_brute_force_over_pairs(spark):
     rnd = random.Random(5)
     lines = [" ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 50)) for _ in range(rnd.randint(1, 25))) for _ in range(25)]
     rows = [(i, "\n".join(rnd.choices(lines, k=rnd.randint(1, 8)))) for i in range(40)]
-    words = lambda x: len(x.split())
-    first = {}
-    for i, t in rows:
-        for x in t.split("\n"):
-            first.setdefault(x, i)
-    texts = dict(rows)
+    texts = [t.split("\n") for _, t in rows]
     want = {}
-    for i, t in rows:
-        mine, shared, gone = t.split("\n"), {}, set()
-        for x in set(mine):
-            if words(x) >= line_dedup.LINE_WORDS and first[x] != i:
-                shared[first[x]] = shared.get(first[x], 0) + words(x)
-        for other, n in shared.items():
-            if n >= line_dedup.MIN_WORDS:
-                a = texts[other].split("\n")
-                number = {x: k for k, x in enumerate({*a, *mine})}
-                gone.update(line_dedup.common_blocks([number[x] for x in a], [number[x] for x in mine], [words(x) for x in mine], line_dedup.MIN_WORDS))
-        want[i] = sorted(gone)
+    for i, mine in enumerate(texts):
+        words = [len(x.split()) for x in mine]
+        want[i] = sorted({j for other in texts[:i] for j in _shared_blocks(other, mine, words, line_dedup.MIN_WORDS)})
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: list(r.deleted_lines) for r in line_dedup.dedup_lines(df).collect()} == want
     assert any(want.values())
 
 
+def _pair(rnd):
+    """Two documents of passages in any order, some repeated, some with a line changed, between own lines."""
+    passages = [[rnd.randrange(10**6) for _ in range(rnd.randint(2, 5))] for _ in range(4)] + [[7, 7, 8], [8, 7, 7]]
+
+    def document():
+        out = []
+        for _ in range(rnd.randint(1, 6)):
+            part = list(rnd.choice(passages))
+            if rnd.random() < 0.3:
+                part[rnd.randrange(len(part))] = rnd.randrange(10**6)
+            out += [rnd.randrange(10**6) for _ in range(rnd.randint(0, 3))] + part
+        return out
+    return document(), document()
+
+
+def test_alignments_decide():
+    """The alignments by themselves find all blocks; the first finds some, and none without them."""
+    rnd = random.Random(11)
+    first = every = 0
+    for _ in range(400):
+        a, b = _pair(rnd)
+        size = {x: rnd.choice((1, 5, 9, 14)) for x in {*a, *b}}
+        words = [size[x] for x in b]
+        want = _shared_blocks(a, b, words, 20)
+        assert line_dedup.repeated(a, b, words, 20) == want
+        assert line_dedup.repeated(a, b, words, 20, rounds=0) == []
+        once = set(line_dedup.repeated(a, b, words, 20, rounds=1))
+        first, every = first + len(once), every + len(want)
+        assert once <= set(want) and line_dedup.repeated(a, b, words, 20, rounds=line_dedup.ROUNDS - 1) == want
+    assert every > 1000 and 0.5 * every < first < every
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: ([0, 1, 2] * (n // 3), [2, 1, 0] * (n // 3)), lambda n: ([0, 1, 2] * (n // 3), [0, 1, 2, 2] * (n // 4)),
+    lambda n: ([0, 1, 2] * (n // 3), random.Random(1).choices([0, 1, 2], k=n)), lambda n: (list(range(n)), list(range(n))[::-1]),
+    lambda n: (random.Random(2).choices([0, 1, 2], k=n), random.Random(3).choices([0, 1, 2], k=n)),
+])
+def test_long_documents_of_few_lines(make):
+    """Thousands of repeated lines take seconds at most, and lose what brute force says on a short piece."""
+    import time
+    for n, words in ((20_000, 7), (20_000, 25), (60, 7)):
+        a, b = make(n)
+        begin = time.process_time()
+        got = line_dedup.repeated(a, b, [words] * len(b), 20)
+        assert time.process_time() - begin < 2
+    assert got == _shared_blocks(a, b, [7] * len(b), 20)
+
+
 def test_line_dedup_finds_a_block_whose_lines_were_first_seen_apart(spark):
     block = [" ".join(f"part{i}of{j}" for j in range(6)) for i in range(4)] + ["so", "it ends"]
     rows = [(i, f"start of text {i}\n{x}\nend of text {i}") for i, x in enumerate(block)]
