@@ -76,6 +76,7 @@ def _bucket_level(groups: DataFrame, shards: int, buckets: int) -> tuple[DataFra
     dealt = groups.withColumn("_bucket", F.when(F.col("size") >= LARGE * fair, -1).otherwise(F.pmod(F.xxhash64("atom"), F.lit(buckets))))
 
     def differenced(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["size", "atom"], ascending=False)  # ties by atom, not by arrival
         part = difference(frame["size"].to_numpy(), shards)
         return pd.DataFrame({"atom": frame["atom"], "parent": [f"{int(key[0])}/{p}" for p in part], "size": frame["size"]})
 
@@ -98,9 +99,11 @@ def balanced_groups(groups: DataFrame, shards: int) -> DataFrame:
         current = written(rest, "shard-groups")
 
     def last(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["size", "atom"], ascending=False)
         return pd.DataFrame({"atom": frame["atom"], "shard": difference(frame["size"].to_numpy(), shards).astype(np.int32)})
 
-    placed = current.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(last, "atom string, shard int")
+    # written, so that no retried task places an atom anew
+    placed = written(current.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(last, "atom string, shard int"), "shard-placed")
     for level in reversed(levels):
         placed = level.join(placed.withColumnRenamed("atom", "parent"), "parent").select("atom", "shard")
     return placed
