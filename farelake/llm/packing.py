@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,82 +103,88 @@ class _Bins:
     def used(self) -> int:
         return sum(1 for x in self.items if x)
 
-    def local_search(self, rounds: int = 8) -> None:
+    def local_search(self) -> None:
         """Exchanges one for one, two for one, one for two, and moves, from emptier bins into fuller ones.
 
         Each exchange makes the fuller bin fuller, so the sum of squared fills
-        rises and the emptiest bins run dry. Ends when no exchange helps, or
-        when no fewer bins are possible.
+        rises and the emptiest bins run dry. Of two documents for one, those
+        looked at are the longest of up to half the room with any other of its
+        bin; the other exchanges are looked for among all documents. Ends when
+        none of them helps any bin, or when no fewer bins are possible.
         """
-        for _ in range(rounds):
-            fewest = self.fewest()
-            if self.used() <= fewest or not self._round():
-                return
+        while self.used() > self.fewest() and self._round():
+            pass
 
     def _round(self) -> bool:
-        order = sorted((k for k, x in enumerate(self.items) if x and self.gap[k]), key=lambda k: self.gap[k])
-        rank = {k: r for r, k in enumerate(order)}
-        pool: list[tuple[int, int, int]] = sorted((int(self.lengths[i]), i, k) for k in order for i in self.items[k])
-        where = {i: k for _, i, k in pool}
+        """Goes once over all bins, fullest first; whether anything changed."""
+        order = sorted((k for k, x in enumerate(self.items) if x and self.gap[k]), key=lambda k: (self.gap[k], k))
+        # by bin and length, the items; by length, the ranks of the bins that hold it, and the emptiest one
+        held: list[dict[int, list[int]]] = [{} for _ in order]
+        ranks: list[list[int]] = [[] for _ in range(self.capacity + 1)]
+        for r, k in enumerate(order):
+            for i in self.items[k]:
+                held[r].setdefault(int(self.lengths[i]), []).append(i)
+            for n in held[r]:
+                ranks[n].append(r)
+        emptiest = np.array([x[-1] if x else -1 for x in ranks])
+        gaps = [self.gap[k] for k in order]
         changed = False
 
-        def largest(limit: int, above: int, taken: int = -1) -> tuple[int, int] | None:
-            """The longest item up to ``limit`` in a bin emptier than rank ``above``."""
-            p = bisect_right(pool, (limit, 1 << 60, 0)) - 1
-            steps = 0
-            while p >= 0 and steps < 64:
-                n, i, _ = pool[p]
-                if i != taken and rank[where[i]] > above:
-                    return n, i
-                p, steps = p - 1, steps + 1
-            return None
-
-        def swap(k: int, out: list[int], came: list[int]) -> None:
-            """Items ``out`` of bin k go to the bin of ``came[0]``, which must have room; ``came`` goes to k."""
-            other = where[came[0]]
-            for i in came:
-                self.items[where[i]].remove(i)
-                self.gap[where[i]] += int(self.lengths[i])
-                self.items[k].append(i)
-                self.gap[k] -= int(self.lengths[i])
-                where[i] = k
-            for i in out:
-                self.items[k].remove(i)
-                self.gap[k] += int(self.lengths[i])
-                self.items[other].append(i)
-                self.gap[other] -= int(self.lengths[i])
-                where[i] = other
-
-        for k in order:
-            while self.items[k] and self.gap[k]:
-                gap, here = self.gap[k], rank[k]
-                best: tuple[int, list[int], list[int]] | None = None
-                if found := largest(gap, here):
-                    best = (found[0], [], [found[1]])
-                mine = self.items[k][:8]
-                for a in mine:
-                    if best and best[0] == gap:
+        def largest(limit: int, above: int) -> int:
+            """The greatest length up to ``limit`` in a bin emptier than rank ``above``, or 0."""
+            found = np.flatnonzero(emptiest[1 : limit + 1] > above)
+            return int(found[-1]) + 1 if len(found) else 0
+
+        def take(r: int, n: int) -> int:
+            item = held[r][n].pop()
+            if not held[r][n]:
+                del held[r][n]
+                ranks[n].pop(bisect_left(ranks[n], r))
+                emptiest[n] = ranks[n][-1] if ranks[n] else -1
+            gaps[r] += n
+            return item
+
+        def give(r: int, n: int, item: int) -> None:
+            if n not in held[r]:
+                held[r][n] = []
+                insort(ranks[n], r)
+                emptiest[n] = ranks[n][-1]
+            held[r][n].append(item)
+            gaps[r] -= n
+
+        for r in range(len(order)):
+            while held[r] and gaps[r]:
+                gap = gaps[r]
+                best, out, came, other = 0, (), (), -1
+                if n := largest(gap, r):
+                    best, out, came, other = n, (), (n,), emptiest[n]
+                mine = list(held[r])
+                for x, a in enumerate(mine):
+                    if best == gap:
                         break
-                    n = int(self.lengths[a])
-                    if (found := largest(n + gap, here)) and found[0] > n and (not best or found[0] - n > best[0]):
-                        best = (found[0] - n, [a], [found[1]])
+                    if (n := largest(a + gap, r)) - a > best:
+                        best, out, came, other = n - a, (a,), (n,), emptiest[n]
                     # one for two: both come from one bin, so that bin has room for what it gets
-                    if (one := largest(max(1, (n + gap) // 2), here)) is not None:
-                        for b in self.items[where[one[1]]]:
-                            both = one[0] + int(self.lengths[b])
-                            if b != one[1] and n < both <= n + gap and (not best or both - n > best[0]):
-                                best = (both - n, [a], [one[1], b])
-                for x, a in enumerate(mine):
-                    for b in mine[x + 1 :]:
-                        if best and best[0] == gap:
-                            break
-                        n = int(self.lengths[a] + self.lengths[b])
-                        if (found := largest(n + gap, here)) and found[0] > n and (not best or found[0] - n > best[0]):
-                            best = (found[0] - n, [a, b], [found[1]])
+                    if one := largest(max(1, (a + gap) // 2), r):
+                        bin_of = held[emptiest[one]]
+                        for b in bin_of:
+                            if best < one + b - a <= gap and (b != one or len(bin_of[one]) > 1):
+                                best, out, came, other = one + b - a, (a,), (one, b), emptiest[one]
+                    for b in mine[x if len(held[r][a]) > 1 else x + 1 :]:
+                        if a + b + gap <= self.capacity and (n := largest(a + b + gap, r)) - a - b > best:
+                            best, out, came, other = n - a - b, (a, b), (n,), emptiest[n]
                 if not best:
                     break
-                swap(k, best[1], best[2])
+                other = int(other)
+                gone, new = [(n, take(r, n)) for n in out], [(n, take(other, n)) for n in came]
+                for n, item in gone:
+                    give(other, n, item)
+                for n, item in new:
+                    give(r, n, item)
                 changed = True
+        for r, k in enumerate(order):
+            self.items[k] = [i for x in held[r].values() for i in x]
+            self.gap[k] = gaps[r]
         return changed
 
 
@@ -199,10 +205,13 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 def pack(pieces: DataFrame, capacity: int = 2048, length_column: str = "length") -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``: gapless from 0 within a sequence of at most ``capacity``.
 
-    Lengths are from 1 to ``capacity``; rows with a null length are not
-    allowed. Equal rows are packed each on its own.
+    Lengths are from 1 to ``capacity``; a null or other length raises an error.
+    Equal rows are packed each on its own.
     """
-    pieces = written(pieces, "pieces")
+    length = F.col(length_column)
+    wrong = length.isNull() | (length < 1) | (length > capacity)
+    checked = F.when(wrong, F.raise_error(F.lit(f"a length is null or not from 1 to {capacity}"))).otherwise(length)
+    pieces = written(pieces.withColumn(length_column, checked.cast(pieces.schema[length_column].dataType)), "pieces")
     groups = max(1, math.ceil(pieces.count() / GROUP))
     # the table is written, so a retried task numbers its rows alike
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
