@@ -178,6 +178,7 @@ def repeated(a: list[int], b: list[int], words: list[int], least: int, rounds: i
     shared = (owner == 0) & np.isin(run, run[owner == 1])
     at_a[start[shared]], at_b[start[mine]] = run[shared], run[mine]
     start, end = start[mine], end[mine]
+    at_a = at_a.tolist()
     lines_a, lines_b = [number.get(x, -1) for x in a], np.array([number[x] for x in b])
     gone = np.zeros(len(b), bool)
     for _ in range(rounds):
@@ -186,9 +187,11 @@ def repeated(a: list[int], b: list[int], words: list[int], least: int, rounds: i
         start, end = start[ahead], end[ahead]
         if not len(start):
             break
-        # lines outside the runs that are left match nothing
+        # lines and runs outside those that are left match nothing
         view = np.where(_covered(start, end, len(b)), lines_b, len(number) + np.arange(len(b)))
-        found = common_blocks(lines_a, view.tolist(), words, least, at_a.tolist(), at_b.tolist())
+        opens = np.full(len(b), -1)
+        opens[start] = at_b[start]
+        found = common_blocks(lines_a, view.tolist(), words, least, at_a, opens.tolist())
         if gone[found].all():
             break
         gone[found] = True
