@@ -1,19 +1,24 @@
 """Main text of web pages by tag-path ratios.
 
-Each text node has a root-to-leaf tag path, and a path's ratio tells how much
-text and punctuation its nodes hold on average. The steps per page:
+Each text node has a root-to-leaf path of block elements, and a path's ratio
+tells how much text and punctuation its nodes hold on average; text in links
+counts a quarter. The steps per page:
 
 1. aggregate text length, punctuation and nodes by path;
 2. smooth the nodes' ratios along the page with a Gaussian window;
 3. fuse: a path's own ratio and the mean of its nodes' smoothed ones combine
    (geometric mean), and each container (a prefix of paths) sums its prose;
-4. keep the paths above the threshold, a multiple of the ratios' deviation,
-   and the headings and paragraphs beside them in the container that holds most
-   of the prose; or all paths of an article or main element with its share.
+4. find the container: the article or main elements with their share of the
+   prose, or else the deepest one that holds most of it;
+5. in there, keep the paths above the threshold, a multiple of the ratios'
+   deviation, and the headings, paragraphs and list items beside them; of the
+   latter, those that are mostly links must pass the threshold themselves.
 
 Elements that are no content by their tag, role, or class name (menus,
-footers, notices, adverts, comments, ...) have a ratio of 0 throughout. A
-page's work and memory are in proportion to its length.
+footers, notices, adverts, comments, ...) have a ratio of 0 throughout; a
+class name does not mark an element that holds an article or main element. A
+page's work and memory are in proportion to its length, whatever its depth:
+paths are numbers, each with its parent's.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,18 +60,24 @@ BOILERPLATE_WORDS = frozenset(
     cookie cookies consent gdpr notice notices notification alert popup modal overlay subscribe subscription newsletter signup login
     share sharing social follow related recommended recommendations trending popular tags tagcloud search searchbox form
     complementary contentinfo hidden""".split())
-#: These words keep an element even beside a word above (``content-header`` holds the title).
+#: These words mark nothing beside a word of the second list (``content-header`` holds the title).
+WEAK_WORDS = frozenset("header masthead".split())
 CONTENT_WORDS = frozenset("article post entry story content main body text".split())
+#: What follows one of these in a class name tells of the layout (``has-sidebar``).
+LAYOUT_WORDS = frozenset("has with no without".split())
 #: A header inside one of these belongs to the article.
 CONTENT_TAGS = frozenset(("article", "main"))
 
-#: Elements that hold a block of prose.
-PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td figcaption".split())
+#: Elements that hold a block of prose, and those that only group such blocks.
+PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td th figcaption caption summary".split())
+GROUPING_TAGS = frozenset("ul ol dl table thead tbody tfoot tr blockquote figure header hgroup details".split())
 
 SIGMA = 1.0
 #: The share of the page's prose that makes a container, or an article or main element, the article.
 CONTAINER_SHARE, NAMED_SHARE = 0.5, 0.2
 THRESHOLD = 0.8
+#: What text in links counts, and the share of it from which a path is mostly links.
+LINK_WEIGHT, MOSTLY_LINKS = 0.25, 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|(?P<text>[^<]+|<)",
@@ -75,11 +87,36 @@ _WORD = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？·–—\"'“”()]")
 
 
-class _Element:
-    __slots__ = ("name", "path", "boilerplate", "parent")
-
-    def __init__(self, name: str, path: str, boilerplate: bool, parent: _Element | None):
-        self.name, self.path, self.boilerplate, self.parent = name, path, boilerplate, parent
+class _Page:
+    """A page's elements, paths and text nodes, each by number; a parent's number is smaller."""
+
+    def __init__(self):
+        self.parent, self.flag, self.path_of = [0], [0], [0]  # by element; flag 1: boilerplate by tag, 2: by its name
+        self.path_parent, self.path_tag, self.path_depth = [0], [""], [0]
+        self._paths: dict[tuple[int, str], int] = {}
+        self.nodes: list[tuple[int, int, str, bool]] = []  # element, block, text, whether in a link
+
+    def element(self, parent: int, name: str, css: str, flag: int) -> int:
+        path = self.path_of[parent]
+        if name not in INLINE:  # inline elements share the path of their block
+            key = (path, f"{name}.{css}" if css else name)
+            if key not in self._paths:
+                self._paths[key] = len(self.path_parent)
+                self.path_parent.append(path)
+                self.path_tag.append(name)
+                self.path_depth.append(self.path_depth[path] + 1)
+            path = self._paths[key]
+        self.parent.append(parent)
+        self.flag.append(flag)
+        self.path_of.append(path)
+        return len(self.parent) - 1
+
+    def content_nodes(self) -> list[tuple[int, int, str, bool]]:
+        """The nodes outside boilerplate, as (path, block, text, whether in a link)."""
+        out = [False] * len(self.parent)
+        for i in range(1, len(out)):
+            out[i] = out[self.parent[i]] or self.flag[i] > 0
+        return [(self.path_of[e], block, text, link) for e, block, text, link in self.nodes if not out[e]]
 
 
 def _marked(attrs: str) -> tuple[str, bool]:
@@ -90,32 +127,48 @@ def _marked(attrs: str) -> tuple[str, bool]:
         if key == "class":
             css = ".".join(value.lower().split())
         if key in ("class", "id", "role"):
-            words.update(_WORD.findall(re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", value).lower()))
+            for name in re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", value).lower().split():
+                for word in _WORD.findall(name):
+                    if word in LAYOUT_WORDS:
+                        break
+                    words.add(word)
         hidden |= key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "").lower())
-    return css, hidden or (bool(words & BOILERPLATE_WORDS) and not words & CONTENT_WORDS)
+    marks = words & BOILERPLATE_WORDS
+    return css, hidden or bool(marks - WEAK_WORDS) or (bool(marks) and not words & CONTENT_WORDS)
 
 
-class _Node:
-    __slots__ = ("element", "block", "text")
+def parse(page: str) -> _Page:
+    """The page's text nodes in order, each with its element and the block it belongs to."""
+    out = _Page()
+    stack: list[tuple[str, int]] = [("", 0)]  # open elements: name, number
+    opened: Counter = Counter()
+    block = 0
+    at, end = 0, len(page)
 
-    def __init__(self, element: _Element, block: int, text: str):
-        self.element, self.block, self.text = element, block, text
+    def close(down_to: int) -> None:
+        for name, _ in stack[down_to:]:
+            opened[name] -= 1
+        del stack[down_to:]
 
+    def close_nearest(names: tuple[str, ...], scope: tuple[str, ...]) -> None:
+        """Ends the nearest open element of ``names``, with what is open inside it, unless a scope element comes first."""
+        if not any(opened[n] for n in names):
+            return
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] in names:
+                return close(k)
+            if stack[k][0] in scope:
+                return None
 
-def text_nodes(page: str) -> list[_Node]:
-    """The page's text nodes in order, each with its element and the block it belongs to."""
-    root = _Element("", "", False, None)
-    stack, nodes, block = [root], [], 0
-    at, end = 0, len(page)
     while at < end:
         m = _TOKEN.match(page, at)
         if m is None:  # a lone tag opener with an unclosed quote
-            nodes.append(_Node(stack[-1], block, page[at]))
+            out.nodes.append((stack[-1][1], block, page[at], opened["a"] > 0))
             at += 1
             continue
         at = m.end()
         if m["text"]:
-            nodes.append(_Node(stack[-1], block, html.unescape(m["text"])))
+            out.nodes.append((stack[-1][1], block, html.unescape(m["text"]), opened["a"] > 0))
             continue
         if not m["name"]:
             continue
@@ -123,38 +176,38 @@ def text_nodes(page: str) -> list[_Node]:
         if name not in INLINE:
             block += 1
         if m["end"]:
-            if any(e.name == name for e in stack):
-                while stack.pop().name != name:
-                    pass
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k][0] != name:
+                    k -= 1
+                close(k)
             continue
         if name in CLOSES_P:
-            _close(stack, ("p",), ("button", "td", "th", "article", "section", "div", "blockquote", "li"))
+            close_nearest(("p",), ("button", "td", "th", "article", "section", "div", "blockquote", "li"))
         if name in ENDS:
-            _close(stack, *ENDS[name])
+            close_nearest(*ENDS[name])
         if name in VOID:
             continue
-        parent = stack[-1]
         css, marked = _marked(m["attrs"]) if m["attrs"] else ("", False)
-        inside = any(e.name in CONTENT_TAGS for e in stack)
-        plain = name in BOILERPLATE_TAGS or (name == "header" and not inside) or (marked and name not in ("html", "body", *CONTENT_TAGS))
-        element = _Element(name, f"{parent.path}/{name}{'.' + css if css else ''}", parent.boilerplate or plain, parent)
+        inside = opened["article"] + opened["main"] > 0
+        if name in BOILERPLATE_TAGS or (name == "header" and not inside):
+            flag = 1
+        else:
+            flag = 2 if marked and name not in ("html", "body", *CONTENT_TAGS) else 0
         if name in RAW:
             closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
             at = closing.end() if closing else end
             continue
         if not m["attrs"].rstrip().endswith("/") or name not in ("svg", "path", "math"):
-            stack.append(element)
-    return nodes
-
-
-def _close(stack: list[_Element], names: tuple[str, ...], scope: tuple[str, ...]) -> None:
-    """Ends the nearest open element of ``names``, with what is open inside it, unless a scope element comes first."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].name in names:
-            del stack[k:]
-            return
-        if stack[k].name in scope:
-            return
+            if name in CONTENT_TAGS:
+                for held, number in reversed(stack):  # what holds an article is no boilerplate by its name
+                    if held in CONTENT_TAGS:
+                        break
+                    if out.flag[number] == 2:
+                        out.flag[number] = 0
+            stack.append((name, out.element(stack[-1][1], name, css, flag)))
+            opened[name] += 1
+    return out
 
 
 def _smoothed(values: np.ndarray) -> np.ndarray:
@@ -165,55 +218,60 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, weights, "valid") / norm
 
 
-def content_paths(nodes: list[_Node]) -> set[str]:
-    """The paths whose fused ratio passes the threshold."""
-    full = [n for n in nodes if not n.element.boilerplate and n.text.strip()]
+def content_paths(page: _Page, nodes: list[tuple[int, int, str, bool]]) -> np.ndarray:
+    """By path: whether it is content."""
+    n = len(page.path_parent)
+    full = [x for x in nodes if x[2].strip()]
     if not full:
-        return set()
-    length = np.array([len(n.text.split()) + len(n.text) / 8 for n in full])
-    punctuation = np.array([len(_PUNCTUATION.findall(n.text)) for n in full], float)
-    paths: dict[str, int] = {}
-    path = np.array([paths.setdefault(n.element.path, len(paths)) for n in full])
-    count = np.bincount(path)
+        return np.zeros(n, bool)
+    path = np.array([p for p, *_ in full])
+    size = np.array([len(text.split()) + len(text) / 8 for _, _, text, _ in full])
+    in_link = np.array([link for *_, link in full])
+    length = np.where(in_link, LINK_WEIGHT * size, size)
+    punctuation = np.array([len(_PUNCTUATION.findall(text)) for _, _, text, _ in full], float)
+    count = np.bincount(path, minlength=n)
+    used = count > 0
+    per = np.maximum(count, 1)
     # the extended ratio: text per node of the path, raised by the path's punctuation per node
-    ratio = np.bincount(path, length) / count * (1 + np.log1p(np.bincount(path, punctuation) / count))
-    fused = np.sqrt(ratio * np.bincount(path, _smoothed(ratio[path])) / count)
-    # what each container holds of the prose
-    held: dict[str, float] = {}
-    by_path: dict[str, _Element] = {}
-    mass = np.bincount(path, length * (1 + np.log1p(punctuation)))
-    for n in full:
-        by_path.setdefault(n.element.path, n.element)
-    for p, k in paths.items():
-        element = by_path[p]
-        while element.parent is not None:
-            held[element.path] = held.get(element.path, 0.0) + mass[k]
-            element = element.parent
-    total = mass.sum()
-    tag = lambda p: p.rpartition("/")[2].split(".")[0]
-    inside = lambda p, top: p == top or p.startswith(top + "/")
-    # an article or main element with a fair share of the prose is the content, the outermost first
-    named = [p for p in held if tag(p) in CONTENT_TAGS and held[p] >= NAMED_SHARE * total]
-    tops = [p for p in named if not any(q != p and inside(p, q) for q in named)]
-    if tops:
-        return {p for p in paths if any(inside(p, q) for q in tops)}
-    level = THRESHOLD * fused.std()
-    over = {p for p, k in paths.items() if fused[k] >= level}
-    # headings and short paragraphs beside the prose, within the deepest container that holds most of it
-    parent = lambda p: p.rpartition("/")[0]
-    container = max((p for p in held if tag(p) not in INLINE | PROSE_TAGS and held[p] >= CONTAINER_SHARE * total), key=lambda p: p.count("/"), default="")
-    beside = {parent(p) for p in over if tag(p) in PROSE_TAGS}
-    return over | {p for p in paths if tag(p) in PROSE_TAGS and inside(p, container) and parent(p) in beside}
+    ratio = np.bincount(path, length, n) / per * (1 + np.log1p(np.bincount(path, punctuation, n) / per))
+    fused = np.sqrt(ratio * np.bincount(path, _smoothed(ratio[path]), n) / per)
+    # what each container holds of the prose: children have greater numbers than their parents
+    held = np.bincount(path, length * (1 + np.log1p(punctuation)), n)
+    total = held.sum()
+    for p in range(n - 1, 0, -1):
+        held[page.path_parent[p]] += held[p]
+    tags = page.path_tag
+    tops = {p for p in range(1, n) if tags[p] in CONTENT_TAGS and held[p] >= NAMED_SHARE * total}
+    if not tops:
+        most = [p for p in range(1, n) if tags[p] not in PROSE_TAGS and held[p] >= CONTAINER_SHARE * total]
+        tops = {max(most, key=lambda p: page.path_depth[p], default=0)}
+    inside = np.zeros(n, bool)
+    for p in range(n):  # an outer container holds the inner ones
+        inside[p] = p in tops or (p > 0 and inside[page.path_parent[p]])
+    level = THRESHOLD * fused[used].std()
+    over = inside & used & (fused >= level)
+
+    def around(p: int) -> int:
+        """The path of the element whose blocks this path's are, past lists and tables."""
+        p = page.path_parent[p]
+        while p and tags[p] in GROUPING_TAGS:
+            p = page.path_parent[p]
+        return p
+
+    beside = {around(int(p)) for p in np.flatnonzero(over) if tags[p] in PROSE_TAGS}
+    links = np.bincount(path, size * in_link, n) > MOSTLY_LINKS * np.bincount(path, size, n)
+    return np.array([over[p] or bool(used[p] and inside[p] and tags[p] in PROSE_TAGS and not links[p] and around(p) in beside) for p in range(n)])
 
 
 def main_text(page: str) -> str:
     """The content nodes' text: one space for white space within a block, and between blocks."""
-    nodes = text_nodes(page)
-    kept = content_paths(nodes)
+    parsed = parse(page)
+    nodes = parsed.content_nodes()
+    kept = content_paths(parsed, nodes)
     blocks: dict[int, list[str]] = {}
-    for n in nodes:
-        if not n.element.boilerplate and n.element.path in kept:
-            blocks.setdefault(n.block, []).append(n.text)
+    for path, block, text, _ in nodes:
+        if kept[path]:
+            blocks.setdefault(block, []).append(text)
     return " ".join(filter(None, (" ".join("".join(parts).split()) for parts in blocks.values())))
 
 

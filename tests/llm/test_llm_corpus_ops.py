@@ -190,6 +190,34 @@ def test_packing_is_close_to_the_bound(seed):
     assert used <= np.ceil(lengths.sum() / 2048) * 1.005 + 1
 
 
+def test_search_looks_at_all_documents():
+    """Pieces of few lengths: hundreds of equal candidates in fuller bins, and none is skipped for it."""
+    rng = np.random.default_rng(0)
+    lengths = rng.choice(rng.integers(300, 1200, 50), 4096)
+    bins = packing._Bins(lengths, 2048)
+    bins.best_fit()
+    before = bins.used()
+    bins.local_search()
+    assert bins.used() <= 1463 < before
+    # no move and no exchange of single documents is left
+    order = sorted((k for k, x in enumerate(bins.items) if x), key=lambda k: (bins.gap[k], k))
+    emptiest = {}
+    for r, k in enumerate(order):
+        for i in bins.items[k]:
+            emptiest[int(lengths[i])] = r
+    for r, k in enumerate(order):
+        for n, far in emptiest.items():
+            if far > r:
+                assert n > bins.gap[k]
+                assert not any(int(lengths[i]) < n <= lengths[i] + bins.gap[k] for i in bins.items[k])
+
+
+def test_lengths_that_cannot_be_packed_raise(spark):
+    for n in (None, 0, 101):
+        with pytest.raises(Exception, match="a length is null"):
+            packing.pack(spark.createDataFrame([(1, 5), (2, n)], "id long, length long"), 100)
+
+
 def test_local_search_empties_bins():
     bins = packing._Bins(np.array([6, 4, 5, 5, 7, 3]), 10)
     bins.items, bins.gap = [[0, 5], [1], [2], [3], [4]], [1, 6, 5, 5, 3]
@@ -235,6 +263,19 @@ def test_nearest_recall_and_scores(spark):
         assert all(abs(s - np.linalg.norm(np.array(vectors[q]) - np.array(vectors[i]))) < 1e-9 for s, i, _ in found)
 
 
+def test_a_search_computes_few_distances_once():
+    rng = np.random.default_rng(3)
+    points = rng.standard_normal((6000, 24)).astype(np.float32)
+    edges, entry = ann.build_graph(points)
+    assert edges.max() < 6000 and ((edges >= 0).sum(1) > 0).all()
+    counted = []
+    found, near = ann.beam_search(points, edges, entry, points[:200], 64, counted)
+    # with repeats it would be several times the shard; of a larger shard it is a smaller share
+    assert sum(counted) < 0.25 * 6000 * 200
+    assert (found[:, 0] == np.arange(200)).mean() > 0.98 and (np.diff(near, axis=1) >= 0).all()
+    assert all(len(set(row[row >= 0])) == (row >= 0).sum() for row in found)
+
+
 def test_nearest_with_copies_and_unusable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(40)] + [(100, [0.0, 1.0]), (101, [0.0, 0.0]), (102, None), (103, [nan, 1.0]), (104, [inf, 1.0]),
@@ -276,6 +317,18 @@ def test_difference_balances():
     assert sharding.difference(np.array([], int), 4).tolist() == []
 
 
+def test_shards_do_not_depend_on_the_rows_order(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET", 60)
+    rng = np.random.default_rng(5)
+    rows = [(i, "x" * int(n) + str(i % 97)) for i, n in enumerate(rng.integers(1, 9, 400))]
+    places = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2 + seed)
+        places.append({r.doc_id: r.shard for r in sharding.shard_documents(df, 4).collect()})
+    assert places[0] == places[1] == places[2]
+
+
 def test_shards_over_several_levels(spark, docs, nothing, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET", 60)
     rng = np.random.default_rng(1)

@@ -142,6 +142,44 @@ def test_content_by_ratio_without_semantic_tags():
     assert html_extract.main_text(page) == f"Head {prose} {prose} Short."
 
 
+@pytest.mark.parametrize("top", ["article", "main"])
+@pytest.mark.parametrize("name", ["post-comments", "post-share", "sidebar-content", "newsletter-body", "articleComments"])
+def test_boilerplate_inside_the_article(top, name):
+    page = f'<{top}><h1>Head</h1><p>{PROSE}</p><div class="{name}"><p>Other text, to go. {PROSE}</p></div><ul><li>one</li></ul></{top}>'
+    assert html_extract.main_text(page) == f"Head {' '.join(PROSE.split())} one"
+
+
+def test_ratios_decide_inside_the_article(monkeypatch):
+    links = "".join(f'<li><a href="/{i}">Next page {i}</a></li>' for i in range(9))
+    page = f'<div class="content-with-sidebar"><article><h1>Head</h1><p>{PROSE}</p><ul>{links}</ul><p>{PROSE}</p><table><tr><td>cell</table><div>by me</div></article></div>'
+    prose = " ".join(PROSE.split())
+    assert html_extract.main_text(page) == f"Head {prose} {prose} cell"
+    monkeypatch.setattr(html_extract, "THRESHOLD", 0.0)
+    assert "Next page" in html_extract.main_text(page) and "by me" in html_extract.main_text(page)
+    monkeypatch.setattr(html_extract, "THRESHOLD", 1e9)
+    assert html_extract.main_text(page) == ""
+
+
+def test_threshold_matters_on_the_table(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    as_is = [html_extract.main_text(p) for p in pages]
+    assert all(as_is)
+    monkeypatch.setattr(html_extract, "THRESHOLD", 1e9)
+    # a page of one path has no deviation to be judged by
+    assert sum(not html_extract.main_text(p) for p in pages) > 0.8 * len(pages)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<div>t " * 100_000, "t" + " t" * 49_999), ("<article>" * 50_000 + "<p>hello there, you" + "<span><li><b>" * 50_000, "hello there, you"),
+    ("<ul><li>" * 50_000 + PROSE, " ".join(PROSE.split())), ("<p>" + "<b>" * 100_000 + PROSE, " ".join(PROSE.split())),
+])
+def test_deep_pages_take_time_in_proportion(page, text):
+    import time
+    begin = time.process_time()
+    assert html_extract.main_text(page) == text
+    assert time.process_time() - begin < 5
+
+
 @pytest.mark.parametrize("page", ["", " ", "<", "<p", "<p>", "</p></div>", "<a href='x", "<script>", "<!--", "<b><i></b></i>", "&", "<html></html>"])
 def test_odd_pages_do_not_fail(page):
     assert isinstance(html_extract.main_text(page), str)
@@ -328,7 +366,7 @@ def test_query_matches_its_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "conversations", "pages", "embeddings", "labels"):
+    for t in ("documents", "conversations", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     df = QUERIES[name](spark, sf)
     want = con.sql(ORACLE_SQL[name])
