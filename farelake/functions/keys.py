@@ -20,17 +20,30 @@ def strip_ws(c: Column) -> Column:
     return F.when(edge, F.btrim(c, F.lit(S.PY_WHITESPACE))).otherwise(c)
 
 
-def canonical_number(c: Column) -> Column:
+def _fits(dtype: T.DataType | None) -> bool:
+    """Whether the type's values all fit the money type, digit for digit."""
+    return (isinstance(dtype, T.DecimalType) and dtype.scale <= S.MONEY.scale
+            and dtype.precision - dtype.scale <= S.MONEY.precision - S.MONEY.scale)
+
+
+def canonical_number(c: Column, dtype: T.DataType | None = None) -> Column:
     """Canonical text of a number, given as a number or as text (T5).
 
     1, 1.0 and 1.000000 all give ``1.000000``, so no engine-specific float
     formatting leaks in. A value with more than 6 decimals or 12 integer
     digits keeps all of up to 18 decimals and 20 integer digits, and one
-    beyond even that its own text, so different numbers stay different.
+    beyond even that its own text, so different numbers stay different. The
+    wide cast runs only for values of which the short one may lose a digit:
+    by the declared type, by the way back to a double, or by the text's form.
     """
-    short, full = c.try_cast(S.MONEY), c.try_cast("decimal(38,18)")
-    return F.when(short == full, short.cast("string")).otherwise(
-        F.coalesce(full.cast("string"), strip_ws(c.cast("string"))))
+    short, full, text = c.try_cast(S.MONEY), c.try_cast("decimal(38,18)"), c.cast("string")
+    if _fits(dtype):
+        return short.cast("string")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        lossless = short.cast(dtype) == c
+    else:
+        lossless = text.rlike(r"^-?[0-9]{1,11}(\.[0-9]{1,6})?$") | (short == full)
+    return F.when(lossless, short.cast("string")).otherwise(F.coalesce(full.cast("string"), strip_ws(text)))
 
 
 def canonical_text(c: Column, dtype: T.DataType, numeric: bool = False) -> Column:
@@ -41,7 +54,7 @@ def canonical_text(c: Column, dtype: T.DataType, numeric: bool = False) -> Colum
     whitespace; NULL becomes the null token.
     """
     if numeric or isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        text = canonical_number(c)
+        text = canonical_number(c, None if numeric else dtype)
     elif isinstance(dtype, T.StringType):
         text = strip_ws(c)
     else:

@@ -13,12 +13,12 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.operators import bronze as B
-from farelake.operators import dims, kpi, load as L, profile, quality, report, silver, validate
+from farelake.operators import dims, kpi, load as L, profile, quality, report, silver, sketches, validate
 from farelake.operators.fact import fact_bookings
 from farelake.functions import dates as D
 from farelake.operators.ids import assign_ids, with_positions
@@ -48,6 +48,13 @@ PROFILES = ("shape", "nulls", "null_columns", "value_counts", "distincts", "top_
             "issues", "issue_list")
 
 
+def distinct_metrics() -> dict[str, Column]:
+    """What each load keeps sketches of (C3, N4, N6); a route has both ends."""
+    source, destination = F.col("Source"), F.col("Destination")
+    return {"row_hash": F.col("row_hash"), "airline": F.col("Airline"), "source": source, "destination": destination,
+            "route": F.concat(source, F.lit("\x1f"), destination)}
+
+
 def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_", one_row: DataFrame | None = None) -> None:
     """Profile a source-shaped frame (N1-N7) into ``profile_*`` tables.
 
@@ -150,6 +157,10 @@ def _ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str, with_prof
         out = L.load(rows, lake, STAGING, mode, stamps=("ingested_at",),
                      partition_by=(S.LAYOUT_COLUMN,), batch_rows=res.rows,
                      number=lambda df, start, all_rows: assign_ids(df, start, all_rows=all_rows))
+        if with_profile:
+            # a row of sketches for each load since the last full one: their union counts them all without another scan
+            lake.write(sketches.sketch_row(rows, distinct_metrics()), sketches.TABLE, stamps=("sketched_at",),
+                       mode="append" if mode == S.INCREMENTAL else "overwrite")
     except Exception as e:
         return failed([f"Unexpected error during load: {e}"], res.rows)
     log_row("SUCCESS", out.rows_expected, out.rows_loaded, None)

@@ -9,6 +9,7 @@ leaves as ``double``, counts as ``bigint`` and ranks as ``int``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,11 @@ from farelake.functions import cleaning as C
 from farelake.functions.dates import departure_month
 from farelake.functions.keys import surrogate_key
 from farelake.operators import bronze as B
-from farelake.operators import changes, dims, kpi, profile, quality, report, silver, validate
+from farelake.operators import changes, dims, kpi, profile, quality, report, silver, sketches, validate
 from farelake.operators.fact import fact_bookings
 from farelake.operators.ids import assign_ids, with_positions
 from farelake.plans import runs
+from farelake.plans.pipeline import distinct_metrics
 from farelake.sources.fixture import fixture_bronze
 from farelake.sources.tables import table
 from farelake.sources.working import working
@@ -389,6 +391,19 @@ def profile_issue_list(spark, sf):
     return profile.issue_list(_staging(spark, sf))
 
 
+@query
+def distinct_sketches(spark, sf):
+    """Distinct counts of three loads from their merged sketches: the count, and whether the estimate is within its error."""
+    rows = working(B.to_staging(_hashed(spark, sf).withColumn("_id", F.col("id"))), "batch")
+    metrics = distinct_metrics()
+    loads = working(reduce(DataFrame.unionByName, [sketches.sketch_row(rows.where(F.col("_id") % 3 == k), metrics) for k in range(3)]), "sketches")
+    exact = rows.agg(*[F.count_distinct(c).alias(m) for m, c in metrics.items()])
+    pairs = ", ".join(f"'{m}', `{m}`" for m in metrics)
+    exact = exact.selectExpr(f"stack({len(metrics)}, {pairs}) as (metric, distinct_count)")
+    return sketches.estimates(loads, metrics).join(exact, "metric").select(
+        "metric", "distinct_count", (F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.col("error")).alias("within_error"))
+
+
 # ------------------------------------------------------------------ data quality
 def _model_tables(spark, sf) -> dict[str, DataFrame]:
     L = Layers(spark, sf)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from csv import reader
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from farelake.sources.records import QuoteError, csv_records
+
 # The text tokens that pandas' CSV reader turns into a missing
 # value by default (its documented ``na_values`` list).
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -41,9 +45,28 @@ def preflight(spark: SparkSession, path: str) -> None:
         raise SourceError("CSV file is empty (0 bytes)")
 
 
-def _options(multiline: bool) -> dict:
-    return dict(header=True, mode="PERMISSIVE", quote='"', escape='"', multiLine=multiline,
-                enforceSchema=False, columnPruning=False)
+def _options() -> dict:
+    return dict(header=True, mode="PERMISSIVE", quote='"', escape='"', enforceSchema=False, columnPruning=False)
+
+
+def _text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
+
+
+def _multiline(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """The header's columns and the parsed records of files whose records may span lines."""
+    try:
+        records = csv_records(spark, path)
+    except QuoteError as e:
+        raise SourceError(f"CSV parsing error: {e}") from None
+    heads = [r["text"] for r in records.where("head").select("text").distinct().limit(2).collect()]
+    if len(heads) != 1:
+        raise SourceError("CSV parsing error: the files' headers differ")
+    columns = next(reader([heads[0]]))
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, _CORRUPT])
+    fields = F.from_csv(F.col("text"), schema, dict(quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT))
+    rows = records.where(~F.col("head") & (F.trim("text") != ""))
+    return columns, rows.select(fields.alias("_r")).select("_r.*")
 
 
 def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -53,13 +76,14 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> Da
     pass). Every file of a directory must carry the same header. A row with
     fewer fields than the header is filled with NULLs; one with more fields
     keeps its raw text in :data:`MALFORMED`, and validation rejects the file.
-    ``multiline`` reads quoted fields that hold line breaks; such files are
-    not splittable, so each is read by one task.
+    ``multiline`` reads quoted fields that hold line breaks, from all splits of
+    a file at once (:mod:`farelake.sources.records`).
     """
-    columns = spark.read.options(**_options(multiline)).csv(path).columns
-    text = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _CORRUPT]])
-    df = (spark.read.options(**_options(multiline), columnNameOfCorruptRecord=_CORRUPT)
-          .schema(text).csv(path))
+    if multiline:
+        columns, df = _multiline(spark, path)
+    else:
+        columns = spark.read.options(**_options()).csv(path).columns
+        df = spark.read.options(**_options(), columnNameOfCorruptRecord=_CORRUPT).schema(_text_schema(columns)).csv(path)
     # A row is flagged for too few or too many fields; only the latter has one
     # past the last column. A letter after the line keeps an empty last field.
     wider = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
