@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from farelake.functions import money as M
 from farelake.schema import Rules
+from farelake.sources.working import one_row
 
 AIRLINE, SOURCE, DEST = "Airline", "Source", "Destination"
 BASE, TOTAL, DURATION = "Base Fare (BDT)", "Total Fare (BDT)", "Duration (hrs)"
@@ -54,7 +55,7 @@ def observed_summary(spark: SparkSession, found: dict) -> DataFrame:
     names = [n for n in found if n == "total_rows" or n.startswith("_null_") or n in ISSUES
              or n.rpartition("_")[0] in dict(STAT_COLUMNS)]
     kinds = ["double" if n.rpartition("_")[2] in ("min", "max", "mean") else "long" for n in names]
-    return spark.createDataFrame([tuple(found[n] for n in names)], ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
+    return one_row(spark, found, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
 def shape(df: DataFrame, one_row: DataFrame | None = None) -> DataFrame:

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from farelake.sources.working import one_row
+
 COMMITS = "_commits"
 
 
@@ -80,8 +82,7 @@ class Lake:
         return self.spark.read.schema(schema).parquet(path)
 
     def _commit(self, table: str, version: str, schema: str) -> None:
-        row = self.spark.createDataFrame(
-            [(table, version, schema)], "table string, version string, schema string").withColumn(
+        row = one_row(self.spark, dict(table=table, version=version, schema=schema), "table string, version string, schema string").withColumn(
             "committed_at", F.current_timestamp())
         with self._committing:   # appends to one folder must not overlap
             row.write.mode("append").parquet(f"{self.root}/{COMMITS}")
@@ -143,6 +144,4 @@ class Lake:
 
     def append_row(self, table: str, row: dict, schema: str) -> None:
         """Append one log row."""
-        cols = [c.strip().split(" ")[0] for c in schema.split(",")]
-        df = self.spark.createDataFrame([tuple(row.get(c) for c in cols)], schema)
-        self.write(df, table, mode="append")
+        self.write(one_row(self.spark, row, schema), table, mode="append")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import threading
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelake.session import shared_dir
 
@@ -15,6 +17,16 @@ _scopes: list[list[str]] = []
 _lock = threading.Lock()
 
 
+def one_row(spark: SparkSession, row: dict, schema: str) -> DataFrame:
+    """A frame of one row, made by the JVM in one task; ``schema`` lists names and simple types. Times are in the session's zone."""
+    out = []
+    for field in schema.split(","):
+        name, kind = field.split()
+        value = row.get(name.strip("`"))
+        out.append(F.lit(value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value).cast(kind).alias(name.strip("`")))
+    return spark.range(0, 1, 1, 1).select(*out)
+
+
 def working(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 
