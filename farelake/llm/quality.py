@@ -5,9 +5,10 @@ byte embeddings and filters run over each chunk, every filter is max-pooled
 over the chunk, and a hidden layer combines the mean of the chunks' pooled
 values into one probability.
 
-Training uses a bounded sample: at most ``SAMPLE_DOCS`` labelled documents of
-each class, each with its whole text, as scoring reads it. Scoring reads every
-byte of every document.
+Training uses a bounded sample: at most ``SAMPLE_DOCS`` labelled documents and
+``SAMPLE_BYTES`` of text of each class, each document with its whole text, as
+scoring reads it. Scoring reads every byte of every document, a long text in
+pieces of ``PIECE`` chunks.
 """
 
 from __future__ import annotations
@@ -21,15 +22,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import text_or_empty, written
 
 SAMPLE_DOCS = 2500
+SAMPLE_BYTES = 64 << 20
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, EMBEDDING, FILTERS, HIDDEN = 4, 8, 16, 8
 EPOCHS, BATCH, RATE, SEED = 10, 32, 0.01, 7
 #: Chunks that go through the network at once.
 BLOCK = 48
+#: Chunks of a text that are cut out of it at once.
+PIECE = 4096
 
 
 def chunk_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,11 +77,29 @@ class Network:
         parts = [self.responses(rows[i : i + BLOCK]).max(axis=1) for i in range(0, len(rows), BLOCK)]
         return np.maximum(np.concatenate(parts) + self.filter_bias, 0)
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
+    def _pooled_sums(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of each text's pooled values, and its chunks."""
         rows, owner = chunk_bytes(texts)
         pooled = self.pooled(rows).astype(np.float64)
-        counts = np.bincount(owner, minlength=len(texts))
-        mean = np.stack([np.bincount(owner, column, len(texts)) for column in pooled.T], axis=1) / counts[:, None]
+        return np.stack([np.bincount(owner, column, len(texts)) for column in pooled.T], axis=1), np.bincount(owner, minlength=len(texts))
+
+    def _long_sums(self, text: bytes) -> tuple[np.ndarray, int]:
+        """The same of one long text, in pieces of whole chunks."""
+        step = CHUNK - OVERLAP
+        chunks = max(1, -(-(len(text) - OVERLAP) // step))
+        total, view = np.zeros(self.filters.shape[1]), memoryview(text)
+        for first in range(0, chunks, PIECE):
+            last = min(first + PIECE, chunks)
+            sums, counts = self._pooled_sums([bytes(view[first * step : (last - 1) * step + CHUNK])])
+            total += sums[0]
+        return total, chunks
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        long = [len(t) > PIECE * CHUNK for t in texts]
+        sums, counts = self._pooled_sums([b"" if x else t for t, x in zip(texts, long)])
+        for i in np.flatnonzero(long):
+            sums[i], counts[i] = self._long_sums(texts[i])
+        mean = sums / counts[:, None]
         combined = np.maximum(mean @ self.hidden + self.hidden_bias, 0) @ self.out + self.out_bias
         return 1 / (1 + np.exp(-np.clip(combined, -30, 30)))
 
@@ -153,12 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     picks = [usable.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS) for y in (0, 1)]
     sample = picks[0].unionByName(picks[1])  # at most 2 * SAMPLE_DOCS rows
     text = text_or_empty(text_column)
-    found = (
+    texts = written(
         docs.select(F.col(id_column).alias("_id"), text.alias("_text"))
         .join(F.broadcast(sample), "_id")
-        .groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
-        .collect()
-    )
+        .groupBy("_id", "_y").agg(F.min("_text").alias("_text")), "quality-sample")
+    # in the sample's order, as many as fit; their ids and sizes are two numbers a row
+    chosen, held = [], [0, 0]
+    for r in sorted(texts.select("_id", "_y", F.xxhash64("_id").alias("h"), F.octet_length("_text").alias("n")).collect(), key=lambda r: (r["h"], r["_id"])):
+        if held[r["_y"]] + r["n"] <= SAMPLE_BYTES:
+            held[r["_y"]] += r["n"]
+            chosen.append(r["_id"])
+    found = texts.where(F.col("_id").isin(chosen)).collect()
     rows = sorted((r["_id"], r["_y"], r["_text"]) for r in found)
     y = np.array([r[1] for r in rows], np.float32)
     total, counts = sum(sizes.values()), np.bincount(y.astype(int), minlength=2)
