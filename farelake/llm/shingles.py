@@ -11,9 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from .words import parts
+
 WORDS = 5
 MINIMA, BANDS = 128, 32
-#: Bytes of text hashed at once.
+#: Bytes of text hashed at once; a longer text is hashed in parts cut at white space.
 BLOCK = 1 << 20
 
 _rng = np.random.default_rng(20240607)
@@ -66,6 +68,24 @@ def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
 
 
+def _shingles(words: np.ndarray) -> np.ndarray:
+    """The hash of each ``WORDS`` words in a row."""
+    whole = np.zeros(max(len(words) - WORDS + 1, 0), np.uint64)
+    for j in range(WORDS):
+        whole += words[j : j + len(whole)] * _SLOT[j]
+    return _mixed(whole)
+
+
+def _few(words: np.ndarray) -> np.ndarray:
+    """The set of a text with less than ``WORDS`` words."""
+    return _mixed((words * _SLOT[: len(words)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(words))) if len(words) else np.zeros(0, np.uint64)
+
+
+def _long_set(text: bytes) -> np.ndarray:
+    words = np.concatenate([_word_hashes(np.frombuffer(part + b"\n", np.uint8))[0] for part in parts(text)])
+    return np.unique(_shingles(words)) if len(words) >= WORDS else _few(words)
+
+
 def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
     """Each text's set, sorted."""
     begin = 0
@@ -74,22 +94,17 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
         while end < len(texts) and (end == begin or size + len(texts[end]) <= BLOCK):
             size += len(texts[end]) + 1
             end += 1
+        if size > BLOCK + 1:
+            yield _long_set(texts[begin])
+            begin = end
+            continue
         part = texts[begin:end]
         data = np.frombuffer(b"\n".join(part) + b"\n", np.uint8)
         words, starts = _word_hashes(data)
         bounds = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in part]))
-        n = len(words) - WORDS + 1
-        whole = np.zeros(max(n, 0), np.uint64)
-        for j in range(WORDS):
-            whole += words[j : j + len(whole)] * _SLOT[j]
-        whole = _mixed(whole)
+        whole = _shingles(words)
         for a, b in zip(bounds[:-1], bounds[1:]):
-            if b - a >= WORDS:
-                yield np.unique(whole[a : b - WORDS + 1])
-            elif b > a:
-                yield _mixed((words[a:b] * _SLOT[: b - a]).sum(keepdims=True, dtype=np.uint64) + np.uint64(b - a))
-            else:
-                yield np.zeros(0, np.uint64)
+            yield np.unique(whole[a : b - WORDS + 1]) if b - a >= WORDS else _few(words[a:b])
         begin = end
 
 

@@ -90,7 +90,35 @@ def test_held_out_accuracy(spark):
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in rows)
 
 
+def test_long_texts_are_scored_in_pieces(monkeypatch):
+    net = quality.fit([b"good text. more", b"!!! $$$ %%%"] * 4, np.array([1, 0] * 4))
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(32, 127, n, np.uint8).tobytes() for n in (5, 9_000, 9_001, 40_000, 448 * 20 + 64)]
+    whole = net.scores(texts)
+    monkeypatch.setattr(quality, "PIECE", 3)
+    assert np.allclose(net.scores(texts), whole, atol=1e-6)
+
+
+def test_training_texts_are_bounded_in_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, *_: seen.extend(rows))
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 2500)
+    df = spark.range(60).selectExpr("id as doc_id", "repeat('x', if(id % 7 = 0, 5000, 400)) as text")
+    quality.train(df, spark.range(60).selectExpr("id as doc_id", "cast(id % 2 as int) as quality"))
+    assert len(seen) == 12 and {len(t) for t in seen} == {400}
+
+
 # ---------------------------------------------------------------- near duplicates
+def test_long_texts_have_the_same_sets_in_parts(monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(["é", "B", "ccc", "dd\x0bd", "x" * 70]) for _ in range(n)).encode() for n in (900, 3, 4000, 1, 5)] + [b"y" * 3000, b" " * 3000]
+    whole = list(shingles.shingle_sets(texts))
+    monkeypatch.setattr(shingles, "BLOCK", 100)
+    monkeypatch.setattr("farelake.llm.words.PART", 100)
+    for a, b in zip(whole, shingles.shingle_sets(texts), strict=True):
+        assert a.tolist() == b.tolist()
+
+
 def test_shingle_sets_match_brute_force():
     rnd = random.Random(2)
     texts = ["", " ", "one", "Two words", "a b c d", "A b C d E", "x " * 50]
