@@ -8,10 +8,12 @@ of neighbours.
   whole text. So the sample that reaches the driver stays small however long
   the texts are, and a common prefix does not pile up in one partition. The
   sort and the comparison use the whole text.
-* A text that holds at least ``HOT_SHARE`` of all rows (so at most
-  1 / ``HOT_SHARE`` texts) is salted: its rows spread over ``SALTS`` sort
-  fragments. The fragments' winners, at most ``SALTS / HOT_SHARE`` short rows,
-  are then folded by their SHA-256.
+* A text that holds at least ``HOT_SHARE`` of all rows, or a quarter of what a
+  shuffle partition holds on average if that is less, is salted: its rows
+  spread over ``SALTS`` sort fragments, or as many as keep a fragment at a
+  partition's share. With P partitions these are at most 1 / ``HOT_SHARE`` or
+  4 P texts, whose fragments' winners, as many short rows times ``SALTS``, are
+  then folded by their SHA-256.
 """
 
 from __future__ import annotations
@@ -41,16 +43,18 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     # equal normalised texts are equal under lower(), so no copy escapes its hot key
     rows = rows.withColumn("_key", F.xxhash64(F.lower("_text")))
     total = docs.count()
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(HOT_SHARE, 0.25 / partitions)
     hot = (
         rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > 1) & (F.col("_n") >= F.lit(total * HOT_SHARE)))
-        .select("_key", F.lit(True).alias("_hot"))
-    )  # at most 1 / HOT_SHARE rows: a proven bound for the broadcast
+        .where((F.col("_n") > 1) & (F.col("_n") >= F.lit(total * share)))
+        .select("_key", F.lit(True).alias("_hot"), F.greatest(F.lit(SALTS), F.ceil(F.col("_n") * F.lit(partitions / max(1, total)))).alias("_salts"))
+    )  # at most 1 / share rows: a proven bound for the broadcast
     salted = (
         rows.join(F.broadcast(hot), "_key", "left")
         .select(
             "_id", "_hot", ascii_lower(F.col("_text")).alias("_norm"),
-            F.when(F.col("_hot"), F.monotonically_increasing_id() % SALTS).otherwise(F.lit(0)).alias("_salt"),
+            F.when(F.col("_hot"), F.monotonically_increasing_id() % F.col("_salts")).otherwise(F.lit(0)).alias("_salt"),
         )
         .withColumn("_prefix", F.substring("_norm", 1, PREFIX))
         .withColumn("_hash", F.xxhash64("_norm"))
