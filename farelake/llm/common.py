@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.session import shared_dir
+from farelake.sources.working import working
 
 #: The letters that the contracts lower-case, in order.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -18,11 +16,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: lineage ends here.
 
     Later stages reread the files when an executor is lost, and joins see
-    their true size.
+    their true size. A ``working_tables`` scope around a run deletes them.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return working(df, name)
 
 
 def text_or_empty(column: str = "text") -> Column:
