@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from struct import pack
 
 import numpy as np
 import tiktoken
@@ -103,9 +104,13 @@ def ranked_encoder(vocabulary: str, pattern: str) -> PieceEncoder:
     slow = library_encoder(library_tokenizer(vocabulary)).encode_piece
 
     def encode(piece: str) -> bytes:
-        if max(piece) > "ɏ" or any(s in piece for s in special):
+        if not piece.isascii() and max(piece) > "ɏ":
             return slow(piece)
-        return np.array(fast.encode_ordinary(piece), "<u4").tobytes()
+        for token in special:
+            if token in piece:
+                return slow(piece)
+        ids = fast.encode_ordinary(piece)
+        return pack(f"<{len(ids)}I", *ids)
 
     return PieceEncoder(encode)
 
