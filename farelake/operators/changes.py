@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from farelake.sources.working import working
 
-#: Distinct batch keys that may be broadcast: some 60 MB of 32-character hashes.
+#: Batch rows whose keys may be broadcast: some 60 MB of 32-character hashes.
 BROADCAST_KEYS = 1_000_000
+#: A target is reduced by the batch's keys if it has this many times the batch's rows.
+REDUCED_FROM = 4
 
 
 def target_keys(target: DataFrame, key: str = "row_hash") -> DataFrame:
@@ -31,17 +33,19 @@ def prune(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
     return target.join(F.broadcast(values), column, "left_semi")
 
 
-def known_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
-    """The batch's distinct non-null keys that the target holds.
+def known_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash", whole: DataFrame | None = None) -> DataFrame:
+    """The distinct target keys that the batch may hold, all that it does among them.
 
-    The batch's keys are written and counted. Up to :data:`BROADCAST_KEYS`,
-    they reduce the target where it is scanned (a broadcast semi join): of the
+    Both sides are counted (Parquet footers, for written tables). A batch of
+    up to :data:`BROADCAST_KEYS` rows and far smaller than the ``whole`` target
+    reduces the target where it is scanned, by a broadcast semi join: of the
     target, only keys of the batch are ever shuffled, and the result, which is
-    no larger, may be broadcast too. Beyond that, the target's keys are folded
-    on the map side and shuffled.
+    no larger, may be broadcast too. Otherwise the target's keys are folded on
+    the map side and shuffled, as the batch is.
     """
-    keys = working(batch.select(key).where(F.col(key).isNotNull()).distinct(), "batch-keys")
-    if keys.count() <= BROADCAST_KEYS:   # Parquet footers
+    rows = batch.count()
+    if rows <= BROADCAST_KEYS and (target if whole is None else whole).count() >= REDUCED_FROM * rows:
+        keys = working(batch.select(key).where(F.col(key).isNotNull()).distinct(), "batch-keys")
         return F.broadcast(target_keys(target, key).join(F.broadcast(keys), key, "left_semi").distinct())
     return target_keys(target, key).distinct()
 
@@ -61,9 +65,10 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str = "row_hash",
     and that both sides carry) only the target partitions that the batch
     touches are scanned.
     """
+    whole = target
     if prune_by is not None and prune_by in target.columns:
         target = prune(target, batch, prune_by)
-    return batch.join(known_keys(batch, target, key), key, "left_anti")
+    return batch.join(known_keys(batch, target, key, whole), key, "left_anti")
 
 
 def change_summary(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:

@@ -101,9 +101,3 @@ def typed_value(src: str) -> F.Column:
     if eng in S.MONEY_COLUMNS:
         return c.cast("string").try_cast(S.MONEY)
     return c.try_cast(S.ENGINE_TYPES[eng])
-
-
-def typed(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Source-named text columns -> declared types; a position and ``keep`` stay."""
-    out = [F.col(c) for c in (POSITION, *keep) if c in df.columns]
-    return df.select(*out, *[typed_value(src).alias(src) for src in S.RENAME])

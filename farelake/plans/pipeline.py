@@ -21,7 +21,7 @@ from farelake.operators import bronze as B
 from farelake.operators import dims, kpi, load as L, profile, quality, report, silver, sketches, validate
 from farelake.operators.fact import fact_bookings
 from farelake.functions import dates as D
-from farelake.operators.ids import assign_ids, with_positions
+from farelake.operators.ids import POSITION, assign_ids, with_positions
 from farelake.sources.csv import MALFORMED, SourceError, preflight, read_text_csv
 from farelake.sources.lake import Lake
 from farelake.sources.working import working, working_tables
@@ -62,9 +62,7 @@ def write_profile(lake: Lake, df: DataFrame, prefix: str = "profile_", one_row:
     that row is given.
     """
     if one_row is None:
-        found = Observation()
-        df.observe(found, *profile.summary_aggregates(df.columns)).write.format("noop").mode("overwrite").save()
-        one_row = profile.observed_summary(lake.spark, found.get)
+        one_row = working(profile.summary(df), "profile")
 
     def write(name: str) -> None:
         family = getattr(profile, name)
@@ -84,20 +82,21 @@ def arrived(text: DataFrame) -> tuple[DataFrame, dict]:
     """
     found = Observation()
     positioned = with_positions(text.select(*[F.col(f"`{c}`") for c in S.SOURCE_COLUMNS], MALFORMED))
-    observed = positioned.observe(
-        found, *validate.problem_aggregates(positioned.columns), *profile.summary_aggregates(S.SOURCE_COLUMNS, validate.typed_value))
-    rows = working(hashed_rows(observed), "batch")
-    return rows, found.get
-
-
-def hashed_rows(text: DataFrame) -> DataFrame:
-    """Typed source columns plus the content hash of their text and the layout month."""
-    for c in S.INT_SOURCE:  # 5 and 5.0 are the same day count
-        text = text.withColumn(c, F.round(F.col(f"`{c}`").try_cast("decimal(18,6)")).try_cast("int"))
-    hashes = B.row_hash(text, S.SOURCE_COLUMNS, numeric=[c for c in S.NUMERIC_KINDS if c not in S.INT_SOURCE])
-    month = D.departure_month(F.col("`Departure Date & Time`"))
-    text = text.withColumn("row_hash", hashes).withColumn(S.LAYOUT_COLUMN, month)
-    return validate.typed(text, keep=("row_hash", S.LAYOUT_COLUMN))
+    # each value is cast once, beside its text
+    typed = {c: f"_typed_{i}" for i, c in enumerate(S.SOURCE_COLUMNS)}
+    both = positioned.withColumns({t: validate.typed_value(c) for c, t in typed.items()})
+    observed = both.observe(found, *validate.problem_aggregates(positioned.columns),
+                            *profile.summary_aggregates(S.SOURCE_COLUMNS, lambda c: F.col(typed[c])))
+    rows = observed.select(
+        POSITION, content_hash(observed, typed).alias("row_hash"),
+        D.departure_month(F.col("`Departure Date & Time`")).alias(S.LAYOUT_COLUMN), *[F.col(t).alias(c) for c, t in typed.items()])
+    return working(rows, "batch"), found.get
+
+
+def content_hash(rows: DataFrame, typed: dict[str, str]) -> Column:
+    """The hash of a row's text; a day count of 5 and of 5.0 are the same, so these count by value."""
+    names = [typed[c] if c in S.INT_SOURCE else c for c in S.SOURCE_COLUMNS]
+    return B.row_hash(rows, names, numeric=[c for c in S.NUMERIC_KINDS if c not in S.INT_SOURCE])
 
 
 def ingest(spark: SparkSession, csv_path: str, lake: Lake, mode: str = S.FULL,
