@@ -59,10 +59,10 @@ def main():
     steps = {
         "stg_bookings (dedupe: partial + final WindowGroupLimit, pushed filters)": silver.stg_bookings(bronze),
         "fct_flight_bookings (route dimension broadcast by file size; no shuffle of bookings)": fact_bookings(stg, dr),
-        "kpi_avg_fare (aggregate by key, exact two-level median, then dimension join)": kpi.kpi_avg_fare(fact, da),
-        "kpi_popular_routes (aggregate by key, windows on 1 row/route, top-k)": kpi.kpi_popular_routes(fact, dr),
+        "kpi_avg_fare (the aggregate and the sketch's brackets are a written table; one scan selects the median)": kpi.kpi_avg_fare(fact, da),
+        "kpi_popular_routes (over the written aggregate: ranks on 1 row/route, top-k)": kpi.kpi_popular_routes(fact, dr),
         "kpi_seasonal (windows instead of a cross join)": kpi.kpi_seasonal(fact),
-        "incremental_new_rows (target pruned to the batch's months; key-only, deduplicated)":
+        "incremental_new_rows (target pruned to the batch's months and reduced by its keys, key-only)":
             changes.new_rows(batch, bronze, prune_by="departure_month"),
     }
     print(f"# Physical plans ({os.path.basename(sf.rstrip('/'))}, local[8], final adaptive plans)\n")
