@@ -271,3 +271,20 @@ def test_profile_families(spark, scratch):
     assert P.ingest(spark, write_csv(scratch, HEADER, [ROW, bad]), lake).ok
     assert lake.read("profile_null_columns").first().missing_value_columns == 1
     assert [(r.issue, r.rows) for r in lake.read("profile_issue_list").collect()] == [("negative_base_fares", 1)]
+
+
+def test_runs_keep_no_source_files(spark, scratch, monkeypatch):
+    """Source files are compressed and go after the last load of them; before, whole text files stayed beside the lake."""
+    from farelake.plans import runs
+    written = []
+    csv = runs.Run.csv
+
+    def noted(run, rows, name):
+        path = csv(run, rows, name)
+        written.append((run.root, sorted(f.rpartition(".")[2] for f in os.listdir(path) if f.startswith("part-"))))
+        return path
+    monkeypatch.setattr(runs.Run, "csv", noted)
+    steps = runs.promote_incremental(spark, "/root/testdata/sf0.001").collect()
+    assert [r.status for r in sorted(steps, key=lambda r: r.step)] == ["FAILURE", "SUCCESS", "SUCCESS", "SUCCESS"]
+    assert len(written) == 2 and all(set(kinds) == {"gz"} for _, kinds in written)
+    assert os.listdir(written[0][0]) == ["lake"]
