@@ -79,3 +79,43 @@ def test_assign_ids_follow_line_order_of_a_split_file(spark, scratch):
         assert out.count() == n
     finally:
         spark.conf.set(key, old)
+
+
+def test_new_rows_by_each_way(spark, scratch, monkeypatch):
+    """Few new keys, few known ones, or many of both: the same rows; where either is few, no whole row is shuffled."""
+    from farelake.operators import changes
+    rows = [(i, f"h{i % 40}" if i % 7 else None) for i in range(100)]
+    spark.createDataFrame(rows, "n long, row_hash string").write.parquet(scratch + "/b")
+    batch = spark.read.parquet(scratch + "/b")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for known, limit, how in ((range(38), 5, "LeftSemi"), (range(2), 5, "LeftAnti"), (range(20), 5, None), ((), 5, "LeftAnti"), (range(40), 0, None)):
+            path = f"{scratch}/t{len(known)}-{limit}"
+            spark.createDataFrame([(f"h{k}",) for k in known] * 2 + [(None,)], "row_hash string").write.parquet(path)
+            monkeypatch.setattr(changes, "BROADCAST_KEYS", limit)
+            q = changes.new_rows(batch, spark.read.parquet(path))
+            want = [n for n, h in rows if h is None or int(h[1:]) not in known]
+            assert sorted(r.n for r in q.collect()) == want, (known, limit)
+            text = q._jdf.queryExecution().executedPlan().toString()
+            assert how is None or ("SortMergeJoin" not in text and f"{how}, BuildRight" in text), (known, limit)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_duplicate_hashes_that_are_no_digests(spark):
+    from farelake.operators import bronze as B
+    texts = ["ab" * 16, "AB" * 16, "ab" * 16, None, "", " ", "x", "61" * 16, "a" * 16, "a" * 16]
+    row = B.duplicate_hash_metric(spark.createDataFrame([(t,) for t in texts], "row_hash string")).first()
+    assert (row.total_rows, row.distinct_hashes, row.duplicate_rows) == (10, 7, 3)
+
+
+def test_fact_of_some_columns(spark):
+    from farelake.operators import dims, silver
+    from farelake.operators.fact import fact_bookings
+    from tests.helpers import booking, bronze_df
+    stg = silver.stg_bookings(bronze_df(spark, [booking(1), booking(2, airline="Air Two", base_fare_bdt="50")]))
+    columns = ("booking_id", "airline_key", "tax_percentage")
+    some = fact_bookings(stg.select("bronze_id", "airline", "source_code", "destination_code", "base_fare_bdt", "tax_surcharge_bdt"),
+                         dims.dim_route(stg), columns=columns)
+    assert set(some.columns) == set(columns)
+    assert sorted(some.select(*columns).collect()) == sorted(fact_bookings(stg).select(*columns).collect())
