@@ -93,3 +93,10 @@ def test_shared_layers_are_derived_once(spark):
         # bronze itself, and nothing else
         text = Q.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
         assert text.count("lineitem.parquet") == 1, name
+
+
+def test_codes_are_spelled_once_a_nation(spark):
+    """The nation's rows carry their codes into the joins; before, every line spelled both."""
+    text = fixture_bronze(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    spelled = [line for line in text.splitlines() if "lpad(" in line]
+    assert len(spelled) == 2 and all("n_nationkey" in line and "l_orderkey" not in line for line in spelled)
