@@ -130,6 +130,19 @@ def test_ids_follow_the_scan_after_known_rows(spark, scratch):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_promotion_of_repeated_ids(spark, scratch, monkeypatch):
+    """Ids that repeat cannot tell rows apart, so the new rows are found by key."""
+    lake = Lake(spark, scratch + "/lake")
+    P.ingest(spark, write_csv(scratch, HEADER, [ROW], "a.csv"), lake)
+    assert P.promote(spark, lake).rows_loaded == 1
+    P.ingest(spark, write_csv(scratch, HEADER, [ROW] + [[f"Air {i}"] + ROW[1:] for i in range(3)], "b.csv"), lake, S.INCREMENTAL)
+    staging = lake.read(P.STAGING)
+    lake.write(staging.withColumn("id", F.lit(1).cast("long")), P.STAGING, partition_by=(S.LAYOUT_COLUMN,))
+    assert P.promote(spark, lake, S.INCREMENTAL).rows_loaded == 3
+    assert sorted(r.airline for r in lake.read(P.BRONZE).collect()) == ["Air 0", "Air 1", "Air 2", "Air One"]
+    assert P.promote(spark, lake, S.INCREMENTAL).rows_loaded == 0
+
+
 def test_a_file_is_gone_before_its_rows_are_loaded(spark, scratch, monkeypatch):
     """Before, the file stayed beside the batch, the shuffle and the new version of staging."""
     paths, seen = [], []
