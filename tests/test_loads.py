@@ -151,3 +151,16 @@ def test_a_file_is_gone_before_its_rows_are_loaded(spark, scratch, monkeypatch):
     monkeypatch.setattr(L, "load", lambda *a, **kw: seen.append([os.path.exists(p) for p in paths]) or load(*a, **kw))
     assert runs.ingest_incremental(spark, SF_SMALL).count() == 4
     assert seen == [[False, True], [False, True], [False, True], [False, False]]
+
+
+def test_the_reports_file_is_cut_where_its_rows_are(spark, monkeypatch):
+    """The rows that the file keeps are picked by position; before, whole rows were shuffled to drop copies by id."""
+    seen = []
+    csv = runs.Run.csv
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(runs.Run, "csv", lambda run, rows, name: seen.append(plan(rows)) or csv(run, rows, name))
+        assert runs.pipeline_report(spark, SF_SMALL).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(seen) == 1 and "BroadcastHashJoin" in seen[0] and "SortMergeJoin" not in seen[0]
