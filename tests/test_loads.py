@@ -149,6 +149,9 @@ def test_a_file_is_gone_before_its_rows_are_loaded(spark, scratch, monkeypatch):
     csv, load = runs.Run.csv, L.load
     monkeypatch.setattr(runs.Run, "csv", lambda run, rows, name: paths.append(csv(run, rows, name)) or paths[-1])
     monkeypatch.setattr(L, "load", lambda *a, **kw: seen.append([os.path.exists(p) for p in paths]) or load(*a, **kw))
+    assert runs.ingest_full(spark, SF_SMALL).count() > 0
+    assert seen == [[False]]
+    paths.clear(), seen.clear()
     assert runs.ingest_incremental(spark, SF_SMALL).count() == 4
     assert seen == [[False, True], [False, True], [False, True], [False, False]]
 
